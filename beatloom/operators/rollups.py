@@ -44,12 +44,16 @@ def stability_measures() -> list[Column]:
     ]
 
 
-def record_window_rollup(curated: DataFrame) -> DataFrame:
-    """Weighted means, counts, coverage and stability of a record's windows."""
-    return curated.groupBy(*K.RECORD_COLS).agg(
+def rollup_measures() -> list[Column]:
+    return [
         F.sum("n_rr").alias("window_n_rr_sum"),
         *weighted_measures(), *stability_measures(), *coverage_measures(),
-    )
+    ]
+
+
+def record_window_rollup(curated: DataFrame) -> DataFrame:
+    """Weighted means, counts, coverage and stability of a record's windows."""
+    return curated.groupBy(*K.RECORD_COLS).agg(*rollup_measures())
 
 
 def rr_distribution(rr: DataFrame, accuracy: int = K.PERCENTILE_ACCURACY) -> DataFrame:
@@ -84,27 +88,20 @@ def rr_irregularity(diffs: DataFrame, pnn20_ms: float = K.PNN20_MS) -> DataFrame
     )
 
 
-def rr_irregularity_from_windows(summary: DataFrame) -> DataFrame:
+def irregularity_measures() -> list[Column]:
     """The same measures merged from the per-window partial sums of `window_summary`.
 
     Squared deviations add up as a within-window plus a between-window part. Differences telescope,
     so window means are tiny next to the deviations and the second part loses no precision.
     """
     n, mean = F.col("_diff_n"), F.col("_diff_mean")
-    merged = summary.groupBy(*K.RECORD_COLS).agg(
-        F.sum(n).alias("_n"),
-        F.sum(n * F.col("_diff_var")).alias("_within"),
-        F.sum(n * mean).alias("_sum"),
-        F.sum(n * mean * mean).alias("_square"),
-        hrv.guarded_ratio(F.sum("_diff_above"), F.sum(n)).alias("pnn20"),
-    )
-    between = F.col("_square") - F.col("_sum") * F.col("_sum") / F.col("_n")
-    spread = F.col("_within") + F.greatest(between, F.lit(0.0))
-    return merged.select(
-        *K.RECORD_COLS,
-        F.when(F.col("_n") > 1, F.sqrt(spread / (F.col("_n") - 1))).alias("sdsd_ms"),
-        "pnn20",
-    )
+    total, shifted = F.sum(n), F.sum(n * mean)
+    within = F.sum(n * F.col("_diff_var"))
+    between = F.greatest(F.sum(n * mean * mean) - shifted * shifted / total, F.lit(0.0))
+    return [
+        F.when(total > 1, F.sqrt((within + between) / (total - 1))).alias("sdsd_ms"),
+        hrv.guarded_ratio(F.sum("_diff_above"), total).alias("pnn20"),
+    ]
 
 
 def window_counts(curated: DataFrame) -> DataFrame:
@@ -121,12 +118,13 @@ def record_rollups(rr: DataFrame, summary: DataFrame, records: DataFrame | None
     """Every listed record with its window roll-up and interval features.
 
     `records` (run_id, run_date, record_id) defaults to the records of `rr`. A record without
-    intervals keeps one row of NULLs. All sides are grouped by the same keys, so the joins reuse
-    the aggregates' partitioning instead of shuffling again.
+    intervals keeps one row of NULLs. The summary is grouped once for all its measures; all sides
+    are grouped by the same keys, so the joins meet small, equally partitioned tables.
     """
     listed = (rr if records is None else records).select(*K.RECORD_COLS).distinct()
-    return listed.join(record_window_rollup(summary), K.RECORD_COLS, "left").join(
-        rr_features(rr, rr_irregularity_from_windows(summary)), K.RECORD_COLS, "left"
+    merged = summary.groupBy(*K.RECORD_COLS).agg(*rollup_measures(), *irregularity_measures())
+    return listed.join(merged, K.RECORD_COLS, "left").join(
+        rr_distribution(rr), K.RECORD_COLS, "left"
     )
 
 
