@@ -16,9 +16,8 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ROWS_PER_SEGMENT = 2_000_000
 MAX_HEAVY_KEYS = 20_000
@@ -35,6 +34,8 @@ class Split:
     order: tuple[str, ...]
     rows_per_segment: int
     cuts: DataFrame | None = None
+    most_cuts: int = 0
+    has_ties: bool = False
     blocks: bool = False
 
     @property
@@ -54,37 +55,28 @@ class Split:
             return df
         if self.blocks:
             return df.withColumns({_SEG: self._block(self.order[0]), _SUB: F.lit(0).cast("long")})
-        below = F.when(F.col("_cuts").isNotNull(), _cuts_at_or_below(F.col(self.order[0])))
+        value = F.col(self.order[0])
+        rows = df.join(F.broadcast(self.cuts), list(self.keys), "left").withColumn(_SEG, F.lit(0))
+        # Binary search for the number of cuts <= value, one generated projection per step.
+        for step in _halving_steps(self.most_cuts):
+            reached = f"get(_cuts, {_SEG} + {step - 1}) <= {self.order[0]}"
+            rows = rows.withColumn(_SEG, F.expr(f"{_SEG} + if({reached}, {step}, 0)"))
         # A value holding several cuts on its own gets a segment for itself, cut further by the
-        # unique tie-breaker: at most `rows_per_segment` rows share one quotient.
-        tied = F.coalesce(F.array_contains("_ties", F.col(self.order[0])), F.lit(False))
-        tie_block = (
-            self._block(self.order[1])
-            if len(self.order) > 1
-            else F.lit(0).cast("long")
-        )
-        return (
-            df.join(F.broadcast(self.cuts), list(self.keys), "left")
-            .withColumns(
-                {
-                    _SEG: below.cast("long") * 2 - tied.cast("long"),
-                    _SUB: F.when(tied, tie_block).otherwise(F.lit(0).cast("long")),
-                }
-            )
-            .drop("_cuts", "_ties")
-        )
+        # tie-breaker, a unique running number: at most `rows_per_segment` rows share a quotient.
+        tied = F.coalesce(F.array_contains("_ties", value), F.lit(False))
+        whole = F.lit(0).cast("long")
+        tie_block = self._block(self.order[1]) if len(self.order) > 1 else whole
+        segment = F.col(_SEG).cast("long") * 2 - tied.cast("long")
+        return rows.withColumns(
+            {
+                _SEG: F.when(F.col("_cuts").isNotNull(), segment),
+                _SUB: F.when(tied, tie_block).otherwise(whole),
+            }
+        ).drop("_cuts", "_ties")
 
 
-def _cuts_at_or_below(value: Column) -> Column:
-    """Number of sorted `_cuts` entries <= value: binary search over a fixed ladder of steps."""
-    steps = [1 << p for p in reversed(range(MAX_CUTS_PER_KEY.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(
-            F.get(F.col("_cuts"), found + step - F.lit(1)) <= value, found + step
-        ).otherwise(found),
-    )
+def _halving_steps(most: int) -> list[int]:
+    return [1 << p for p in reversed(range(max(1, most).bit_length()))]
 
 
 def block_split(
@@ -108,23 +100,31 @@ def plan_split(
     fewer than MAX_HEAVY_KEYS of them and their cuts together number no more than that either.
     """
     keys, order = tuple(keys), tuple(order)
+    spark = df.sparkSession
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    if not total:
-        return Split(keys, order, rows_per_segment)
+    seen = Observation()
+    largest_keys = (
+        sizes.observe(seen, F.sum("_n").alias("total"), F.max("_n").alias("largest"))
+        .filter(F.col("_n") > rows_per_segment)
+        .orderBy(F.desc("_n"))
+        .limit(MAX_HEAVY_KEYS)
+    )
+    found = largest_keys.collect()  # at most MAX_HEAVY_KEYS rows, usually none
+    total, largest = seen.get["total"] or 0, seen.get["largest"] or 0
     rows = max(
         rows_per_segment,
         math.ceil(total / MAX_HEAVY_KEYS),
         math.ceil(largest / MAX_CUTS_PER_KEY),
     )
-    if largest <= rows:
+    found = [r for r in found if r["_n"] > rows]
+    if not found:
         return Split(keys, order, rows)
 
-    heavy = sizes.filter(F.col("_n") > rows)
+    heavy = spark.createDataFrame(found, largest_keys.schema).select(*keys)
     pieces = math.ceil(largest / rows)
     fractions = [i / pieces for i in range(1, pieces)]
     quantiles = (
-        df.join(F.broadcast(heavy.select(*keys)), list(keys), "left_semi")
+        df.join(F.broadcast(heavy), list(keys), "left_semi")
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_n"),
@@ -148,9 +148,11 @@ def plan_split(
             ).alias("_ties"),
         )
     )
-    rows_out = bounded.collect()  # fewer than MAX_HEAVY_KEYS rows, see above
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in bounded.schema])
-    return Split(keys, order, rows, df.sparkSession.createDataFrame(rows_out, schema))
+    cuts = bounded.collect()  # one row per heavy key
+    return Split(
+        keys, order, rows, spark.createDataFrame(cuts, bounded.schema),
+        most_cuts=max(len(r["_cuts"]) for r in cuts), has_ties=any(r["_ties"] for r in cuts),
+    )
 
 
 def with_previous(
@@ -180,9 +182,11 @@ def with_previous(
     if split.cut_any:
         at = [*split.keys, _SEG, _SUB]
         carry = _carry(rows, split, previous, running)
-        # One row per segment. For planned cuts there are fewer than twice the bounded number of
-        # cuts, so that side is safe to broadcast; for blocks both sides are already hashed alike.
-        out = out.join(carry if split.blocks else F.broadcast(carry), at, "left")
+        # One row per segment. Planned cuts without ties make at most one more segment than there
+        # are cuts per key, a bounded number and safe to broadcast. Otherwise the count depends on
+        # the data, and the join runs on the partitioning the rows already have.
+        bounded = not split.blocks and not split.has_ties
+        out = out.join(F.broadcast(carry) if bounded else carry, at, "left")
         first = F.col("_position") == 1
         for name in previous:
             out = out.withColumn(name, F.when(first, F.col(f"_carry_{name}")).otherwise(F.col(name)))

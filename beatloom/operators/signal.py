@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from beatloom import constants as K
 from beatloom.functions.ordered import block_split, drop_segments, with_previous
 from beatloom.functions.quantiles import exact_median, value_counts
-from beatloom.session import ensure_checkpoint_dir
+from beatloom.session import broadcast_if_small, ensure_checkpoint_dir
 
 SEGMENT_SAMPLES = 65_536
 BLOCK_ROWS = 1_000_000
@@ -94,9 +94,7 @@ def _segmented(
     samples: DataFrame, rates: DataFrame, keys: Sequence[str], margin_sec: float, length: int
 ) -> DataFrame:
     """Each sample in its own segment and, near an edge, in the neighbour's margin as well."""
-    # Few rates against many samples: Spark broadcasts them when their measured size allows it and
-    # otherwise splits the heavy records of a sort-merge join.
-    rated = samples.join(rates.select(*keys, "fs"), list(keys))
+    rated = samples.join(broadcast_if_small(rates.select(*keys, "fs")), list(keys))
     margin = F.ceil(F.col("fs") * F.lit(margin_sec)).cast("long")
     size = F.greatest(F.lit(length).cast("long"), margin * 2)
     at = F.col("sample_index")

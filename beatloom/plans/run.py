@@ -153,18 +153,19 @@ class Run:
             )
             # Settled before writing: afterwards the written table would answer differently.
             skipped, pending = skipped.checkpoint(), pending.checkpoint()
-            usable = (F.col("fs").cast("int") > 0) & (F.size(F.get("signal", F.lit(0))) > 0)
-            found = waveforms.filter(F.coalesce(usable, F.lit(False)))
-            readable = pending.join(found.select("record_id"), "record_id", "left_semi")
-            broken = pending.join(found.select("record_id"), "record_id", "left_anti")
-            todo = found.join(pending, "record_id", "left_semi")
+            # One look at the signals' sizes, one pass to write them.
+            measured = wf.waveform_quality(
+                waveforms.join(pending, "record_id", "left_semi"), self.run_id, slice_seconds
+            ).checkpoint()
+            good = wf.readable(measured)
+            readable = good.select("record_id")
+            broken = pending.join(readable, "record_id", "left_anti")
+            todo = waveforms.join(readable, "record_id", "left_semi")
             samples = wf.ingest_waveforms(todo, self.run_id, self.run_date, slice_seconds)
-            tables.write_layer(samples, self.root, K.RAW, K.ECG)
+            tables.write_layer(samples, self.root, K.RAW, K.ECG, rebalance=False)
             uri = self._record_uri(K.RAW, K.ECG)
             self._register(readable, K.RAW, K.ECG, uri, K.RAW_SCHEMA_VER)
-            self.metadata.append(
-                "quality_metrics", wf.waveform_quality(todo, self.run_id, slice_seconds)
-            )
+            self.metadata.append("quality_metrics", good)
             result = self._outcomes(K.INGESTION, ok=readable, skipped=skipped, failed=broken)
         except Exception as error:
             self._run_state(K.FAILED, str(error))

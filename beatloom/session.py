@@ -2,7 +2,10 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 2_000_000
 
 OBJECT_STORE_DEFAULTS = {
     # Plain numbers, because older S3A clients cannot parse duration strings.
@@ -50,3 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="beatloom-"))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after counting; a larger side keeps a shuffled join, whose heavy keys
+    Spark splits at run time. For narrow rows (an id and a number) that are cheap to count."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -43,6 +43,7 @@ class Metadata:
         (
             schemas.conform(stamped, schema)
             .withColumn("change_no", F.lit(time.time_ns()))
+            .hint("rebalance")
             .write.mode("append")
             .partitionBy("run_id")
             .parquet(f"{self.root}/{table}")

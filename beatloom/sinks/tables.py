@@ -75,18 +75,22 @@ def split_pending(
 # --- writing -------------------------------------------------------------------------------
 
 
-def write_layer(df: DataFrame, root: str, layer: str, artifact: str, by_record: bool = True) -> None:
+def write_layer(
+    df: DataFrame, root: str, layer: str, artifact: str, by_record: bool = True,
+    rebalance: bool = True,
+) -> None:
     """Write rows into their run (and record) partitions, replacing just the partitions they touch.
 
     The rebalance hint packs small records into common tasks and splits a heavy one over several,
-    so neither many tiny files nor one huge task results.
+    so neither many tiny files nor one huge task results. Rows that come out of their source
+    record by record are written where they are, without a shuffle.
     """
-    partition = K.RECORD_COLS if by_record else ["run_date", "run_id"]
+    partition = ["run_date", "run_id", *(["record_id"] if by_record else [])]
     (
-        df.hint("rebalance", F.col("record_id"))
+        (df.hint("rebalance", F.col("record_id")) if rebalance else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*sorted(partition, key=["run_date", "run_id", "record_id"].index))
+        .partitionBy(*partition)
         .parquet(artifact_path(root, layer, artifact))
     )
 
@@ -99,14 +103,16 @@ def write_records(
     A listed record that has no rows any more loses its old partition.
     """
     spark = df.sparkSession
-    before = written_records(spark, root, layer, artifact, run_id, run_date)
-    emptied = (
-        before.join(records.select("record_id"), "record_id", "left_semi")
-        .join(df.select("record_id").distinct(), "record_id", "left_anti")
-    )
-    stale = [r.record_id for r in emptied.toLocalIterator()]
-    write_layer(df, root, layer, artifact)
     base = f"{root.rstrip('/')}/{artifact_key(layer, artifact, run_date, run_id)}"
+    stale = []
+    if path_exists(spark, base):
+        before = written_records(spark, root, layer, artifact, run_id, run_date)
+        emptied = (
+            before.join(records.select("record_id"), "record_id", "left_semi")
+            .join(df.select("record_id").distinct(), "record_id", "left_anti")
+        )
+        stale = [r.record_id for r in emptied.toLocalIterator()]
+    write_layer(df, root, layer, artifact)
     for record_id in stale:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/record_id={record_id}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

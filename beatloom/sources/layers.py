@@ -10,6 +10,9 @@ from beatloom import constants as K
 from beatloom import schemas
 from beatloom.sources.records import RecordFilter
 
+# Most record ids to spell out in a partition filter.
+MAX_LISTED = 1_000
+
 SCHEMAS: dict[str, T.StructType] = {
     K.ECG: schemas.RAW_ECG,
     K.RR_INTERVALS: schemas.RR_INTERVALS,
@@ -69,9 +72,9 @@ def read_run(
     run_date: str,
     records: RecordFilter | DataFrame | None = None,
 ) -> DataFrame:
-    """One run's rows, optionally of some records: partition filters, so the rest is not listed.
+    """One run's rows, optionally of some records: partition filters, so the rest is not read.
 
-    A DataFrame of `record_id`s is semi-joined, which prunes partitions at run time.
+    A short DataFrame of `record_id`s becomes a list in the filter, a longer one a semi-join.
     """
     table = read_layer(spark, root, layer, artifact).filter(
         (F.col("run_date") == run_date) & (F.col("run_id") == run_id)
@@ -79,6 +82,9 @@ def read_run(
     if isinstance(records, RecordFilter):
         return table.filter(records.condition())
     if records is not None:
+        first = [r.record_id for r in records.select("record_id").limit(MAX_LISTED + 1).collect()]
+        if len(first) <= MAX_LISTED:
+            return table.filter(F.col("record_id").isin(first) if first else F.lit(False))
         return table.join(records.select("record_id"), "record_id", "left_semi").select(
             *table.columns
         )

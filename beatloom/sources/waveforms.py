@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def _kept_samples(slice_seconds) -> tuple[Column, Column]:
     """(sampling rate as a whole number, first channel cut to the slice)."""
-    fs = F.col("fs").cast("int")
+    fs = F.col("fs").try_cast("int")
     first = F.get("signal", F.lit(0))
     seconds = _whole_seconds(slice_seconds)
     kept = first if seconds is None else F.slice(first, F.lit(1), fs * F.lit(seconds))
@@ -66,3 +66,8 @@ def waveform_quality(waveforms: DataFrame, run_id: str, slice_seconds=None) -> D
         F.when(F.size("signal") >= 2, 2).otherwise(1).alias("n_channels"),
         F.coalesce("has_annotation", F.lit(False)).alias("atr_exists"),
     )
+
+
+def readable(quality: DataFrame) -> DataFrame:
+    """Rows of `waveform_quality` whose record has samples and a positive sampling rate."""
+    return quality.filter((F.col("sampling_hz") > 0) & (F.col("n_samples") > 0))
