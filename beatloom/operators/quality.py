@@ -24,8 +24,7 @@ DERIVED_TOLERANCE = 1e-6
 REQUIRED_COLUMNS = {
     K.RR_INTERVALS: ["t_peak_sec"],
     K.WINDOW_FEATURES: [
-        "window_start_sec", "window_end_sec", "n_rr", "window_valid", "window_coverage_sec",
-        "window_is_partial", "mean_rr_ms", "sdnn_ms", "rmssd_ms", "pnn50",
+        c for c in schemas.WINDOW_FEATURES.fieldNames() if c not in K.RECORD_COLS
     ],
     K.WINDOW_FEATURES_ML: schemas.WINDOW_FEATURES_ML.fieldNames(),
     K.RECORD_FEATURES: schemas.RECORD_FEATURES.fieldNames(),

@@ -60,6 +60,10 @@ def valid_run_date(text: str | None) -> bool:
     return True
 
 
+def _listed(counts: dict[str, int]) -> str:
+    return ", ".join(f"{name} {count}" for name, count in counts.items())
+
+
 class Run:
     """One (run id, run date) under a root path of any Hadoop file system."""
 
@@ -128,10 +132,8 @@ class Run:
 
     @staticmethod
     def _notes(result: StageResult) -> str:
-        return (
-            f"records_total={result.records_total},records_ok={result.records_ok},"
-            f"records_skipped={result.records_skipped},records_failed={result.records_failed}"
-        )
+        names = ("records_total", "records_ok", "records_skipped", "records_failed")
+        return _listed({name: getattr(result, name) for name in names})
 
     def _discover(self, layer: str, kind: str, version: str | None = None) -> DataFrame:
         return catalog.discover_artifacts(
@@ -278,16 +280,16 @@ class Run:
             key = artifact_key(K.ML_READY, artifact, self.run_date, self.run_id)
             self._register(records, K.ML_READY, artifact, key)
 
-        total, skips = records.count(), skipped.count()
-        windows = made.curated.count()
-        covered = with_windows.count()
-        notes = (
-            f"records_total={total},records_ok={total},records_failed=0,records_skipped={skips},"
-            f"records_with_windows={covered},windows_total={windows},"
-            f"ml_ready_window_rows={windows},ml_ready_record_rows={total}"
-        )
+        counts = {
+            "records_total": records.count(),
+            "records_skipped": skipped.count(),
+            "records_with_windows": with_windows.count(),
+            "windows_total": made.curated.count(),
+        }
+        total, windows = counts["records_total"], counts["windows_total"]
         return StageResult(
-            K.AGGREGATION, K.SUCCEEDED, total, total, skips, 0, windows, windows, total, notes
+            K.AGGREGATION, K.SUCCEEDED, total, total, counts["records_skipped"],
+            windows_total=windows, window_rows=windows, record_rows=total, notes=_listed(counts),
         )
 
     def _check_counts(self, rolled: DataFrame) -> None:
