@@ -18,15 +18,12 @@ def test_arrivals_equal_one_batch(spark, tmp_path):
     inbox, live, batch = (str(tmp_path / n) for n in ("inbox", "live", "batch"))
     rows = [waveform("a", 20, seed=4), waveform("b", 25, seed=5)]
 
-    def drain():
-        stream = waveform_stream(spark, inbox, max_files=1)
-        query = process_arrivals(stream, live, "r", DAY, str(tmp_path / "ck"))
-        query.awaitTermination()
-        assert query.exception() is None
-
     for row in rows:
         spark.createDataFrame([row], schemas.WAVEFORMS).coalesce(1).write.mode("append").parquet(inbox)
-        drain()
+    stream = waveform_stream(spark, inbox, max_files=1)
+    query = process_arrivals(stream, live, "r", DAY, str(tmp_path / "ck"))
+    query.awaitTermination()
+    assert query.exception() is None and len(query.recentProgress) >= 2
     run_all(spark, batch, "r", DAY, spark.createDataFrame(rows, schemas.WAVEFORMS))
     for layer, artifact in (
         ("processed", "rr_intervals_v1"), ("curated", "window_features_v1"),
