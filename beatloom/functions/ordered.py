@@ -110,7 +110,8 @@ def plan_split(
         .limit(MAX_HEAVY_KEYS)
     )
     found = largest_keys.collect()  # at most MAX_HEAVY_KEYS rows, usually none
-    total, largest = seen.get["total"] or 0, seen.get["largest"] or 0
+    measured = seen.get
+    total, largest = measured.get("total") or 0, measured.get("largest") or 0
     rows = max(
         rows_per_segment,
         math.ceil(total / MAX_HEAVY_KEYS),

@@ -77,16 +77,64 @@ def infer_sampling_rate(
     rates = median.filter(F.col("_step") < F.lit(float("inf"))).select(
         *keys, (F.lit(1.0) / F.col("_step")).alias("fs")
     )
-    reason = F.lit("no positive finite time step to infer a sampling rate").alias("reason")
-    errors = (
-        counts.groupBy(*keys)
-        .agg(F.sum("n").alias("steps"))
-        .join(rates, list(keys), "left_anti")
-        .select(*keys, "steps", reason)
-    )
+    errors = _without_rate(counts.groupBy(*keys).agg(F.sum("n").alias("steps")), rates, keys)
     return rates, errors
 
 
+def steady_rates(
+    samples: DataFrame, keys: Sequence[str] = K.RECORD_COLS, tolerance: float = 1e-6
+) -> tuple[DataFrame, DataFrame]:
+    """(rates, spans): the rate of every record whose samples lie on an even time grid.
+
+    Two passes of map-side aggregates and no shuffle of samples: the grid follows from a record's
+    first and last sample, then the largest distance of any sample from it is measured. Within
+    `tolerance` of a step, the rate equals the one from the median step to as many parts.
+    `spans` holds the sample count of every record.
+    """
+    keys = list(keys)
+    at, t = F.col("sample_index"), F.col("t_sec")
+    spans = samples.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_samples"), F.count(t).alias("_timed"),
+        F.min(at).alias("_i0"), F.max(at).alias("_i1"), F.min(t).alias("_t0"), F.max(t).alias("_t1"),
+    ).checkpoint()
+    steps = F.col("_i1") - F.col("_i0")
+    grid = spans.filter(
+        (F.col("n_samples") > 1) & (F.col("_timed") == F.col("n_samples"))
+        & (steps + 1 == F.col("n_samples")) & (F.col("_t1") > F.col("_t0"))
+    ).select(*keys, "_i0", "_t0", (steps / (F.col("_t1") - F.col("_t0"))).alias("fs"))
+    off = F.abs((t - F.col("_t0")) * F.col("fs") - (at - F.col("_i0")))
+    rates = (
+        samples.select(*keys, at, t).join(broadcast_if_small(grid), keys)
+        .groupBy(*keys, "fs").agg(F.max(off).alias("_off"))
+        .filter(F.col("_off") <= tolerance)
+        .select(*keys, "fs")
+    )
+    return rates, spans.select(*keys, "n_samples")
+
+
+def sampling_rates(
+    samples: DataFrame, keys: Sequence[str] = K.RECORD_COLS, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """(rates, errors) of all records: evenly sampled ones without a shuffle, the others by
+    `infer_sampling_rate`."""
+    keys = list(keys)
+    ensure_checkpoint_dir(samples.sparkSession)
+    steady, spans = steady_rates(samples, keys)
+    steady = steady.checkpoint()
+    others = spans.filter(F.col("n_samples") > 1).join(steady, keys, "left_anti").checkpoint()
+    uneven = samples.join(broadcast_if_small(others.select(*keys)), keys, "left_semi")
+    rates = steady
+    if not others.isEmpty():
+        inferred, _ = infer_sampling_rate(uneven, keys, block_rows)
+        rates = steady.unionByName(inferred).checkpoint()
+    return rates, _without_rate(others.select(*keys, (F.col("n_samples") - 1).alias("steps")), rates, keys)
+
+
+def _without_rate(records: DataFrame, rates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    reason = F.lit("no positive finite time step to infer a sampling rate").alias("reason")
+    return records.join(rates, list(keys), "left_anti").select(*keys, "steps", reason)
+
+
 # --- segments ------------------------------------------------------------------------------
 
 
@@ -279,15 +327,14 @@ def beats_from_samples(
     widths: DetectorWidths = DetectorWidths(),
     segment_samples: int = SEGMENT_SAMPLES,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(interval table, errors). Known `rates` save the pass that infers them.
+    """(interval table, errors). Known `rates` save the passes that find them.
 
     Rates and peaks are checkpointed: both are small next to the samples and read more than once.
     """
     ensure_checkpoint_dir(samples.sparkSession)
     errors = None
     if rates is None:
-        rates, errors = infer_sampling_rate(samples, keys)
-        rates = rates.checkpoint()
+        rates, errors = sampling_rates(samples, keys)
     peaks = detect_peaks(samples, rates, keys, widths, segment_samples).checkpoint()
     return rr_intervals(peaks, keys), errors
 

@@ -478,6 +478,17 @@ def _(spark, sf_dir):
     return rates.select("record_id", F.round("fs", 10).alias("fs"))
 
 
+@query(
+    "sampling_rate_steady",
+    "SELECT CAST(vec_id AS VARCHAR) AS record_id, round(360.0::DOUBLE, 6) AS fs FROM embeddings"
+    " WHERE len(embedding) > 1",
+)
+def _(spark, sf_dir):
+    rows = wf.ingest_waveforms(views.waveforms(spark, sf_dir), views.RUN_ID, views.RUN_DATE)
+    rates, _ = signal.sampling_rates(rows)
+    return rates.select("record_id", F.round("fs", 6).alias("fs"))
+
+
 SAMPLE_WIDTHS = signal.DetectorWidths(baseline=10, energy=2, refractory=7, threshold_block=50)
 
 SAMPLES_SQL = """WITH sig AS (

@@ -49,10 +49,16 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a local one only if none is named."""
-    if spark.sparkContext.getCheckpointDir() is None:
+    """Use the shared checkpoint folder the session names (`spark.checkpoint.dir`).
+
+    Only a local session without one gets a temporary folder; a cluster has to name its own.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="beatloom-"))
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="beatloom-"))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

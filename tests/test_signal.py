@@ -56,6 +56,25 @@ def test_sampling_rate(spark):
         assert [(e.record_id, e.steps) for e in errors.collect()] == [("stuck", 2)]
 
 
+def test_even_records_need_no_shuffle_of_samples(spark):
+    rows = [("even", i, 3 + i / 250) for i in range(40)]
+    rows += [("jitter", i, i / 250 + (0.001 if i % 2 else 0.0)) for i in range(40)]
+    rows += [("gap", i if i < 20 else i + 5, i / 250) for i in range(40)]
+    rows += [("stuck", i, 1.0) for i in range(3)] + [("single", 0, 0.0)]
+    samples = spark.createDataFrame(rows, "record_id string, sample_index long, t_sec double")
+    steady, spans = signal.steady_rates(samples, KEYS)
+    assert [(r.record_id, round(r.fs, 9)) for r in steady.collect()] == [("even", 250.0)]
+    assert spans.count() == 5
+    rates, errors = signal.sampling_rates(samples, KEYS)
+    inferred, _ = signal.infer_sampling_rate(samples, KEYS)
+    expected = {r.record_id: pytest.approx(r.fs) for r in inferred.collect()}
+    assert {r.record_id: r.fs for r in rates.collect()} == expected
+    assert expected.keys() == {"even", "jitter", "gap"}
+    assert [e.record_id for e in errors.collect()] == ["stuck"]
+    even = samples.filter("record_id = 'even'")
+    assert signal.sampling_rates(even, KEYS)[1].isEmpty()
+
+
 def test_peaks_to_intervals(spark):
     raw = spark.createDataFrame(
         [("x", p) for p in (20, 5, 5, 13, -1, 40)] + [("y", 7)], "record_id string, peak_index long"
