@@ -417,6 +417,44 @@ def _(spark, sf_dir):
     return rounded(signal.processing_metrics(views.intervals(spark, sf_dir, "user_id")))
 
 
+LISTED_SQL = (
+    "SELECT 'r1' AS run_id, '2024-01-31' AS run_date, CAST(c_custkey AS VARCHAR) AS record_id FROM customer"
+)
+
+
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the requested records: users with events among them, and many without."""
+    return views.table(spark, sf_dir, "customer").select(
+        F.lit(views.RUN_ID).alias("run_id"),
+        F.lit(views.RUN_DATE).alias("run_date"),
+        F.col("c_custkey").cast("string").alias("record_id"),
+    )
+
+
+@query(
+    "processing_metrics_listed",
+    rr_sql(BY_USER) + f""", listed AS ({LISTED_SQL}),
+m AS (SELECT run_id, record_id, count(*) AS n, avg(rr_interval_sec) * 1000 AS mean_rr_ms,
+  stddev_samp(rr_interval_sec) * 1000 AS sdnn_ms FROM rr GROUP BY ALL)
+SELECT run_id, record_id, CAST(coalesce(n, 0) AS INT) AS n_beats, round(mean_rr_ms, 4) AS mean_rr_ms,
+  round(sdnn_ms, 4) AS sdnn_ms FROM listed LEFT JOIN m USING (run_id, record_id)""",
+)
+def _(spark, sf_dir):
+    rr = views.intervals(spark, sf_dir, "user_id")
+    return rounded(signal.processing_metrics(rr, listed(spark, sf_dir)))
+
+
+@query(
+    "record_features_listed",
+    records_sql(BY_USER).replace("SELECT DISTINCT run_id, run_date, record_id FROM rr", LISTED_SQL)
+    + take(RECORD_COLS_SQL, "record"),
+)
+def _(spark, sf_dir):
+    rr, split = views.beats(spark, sf_dir, "user_id")
+    made = feature_tables(rr, listed(spark, sf_dir), BY_USER, split)
+    return rounded(made.record.drop("created_at"))
+
+
 # --- waveforms and signals -----------------------------------------------------------------
 
 
@@ -841,6 +879,27 @@ def _(spark, sf_dir):
     return quality.presence(views.intervals(spark, sf_dir, "user_id"))
 
 
+@query(
+    "dq_untimed_records",
+    "SELECT 'r1' AS run_id, CAST(c_custkey AS VARCHAR) AS record_id, CAST(0 AS BIGINT) AS rows,"
+    " CAST(0 AS BIGINT) AS timed_rows FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
+)
+def _(spark, sf_dir):
+    rr = views.intervals(spark, sf_dir, "user_id")
+    return quality.untimed_records(rr, listed(spark, sf_dir))
+
+
+@query(
+    "dq_derived_records",
+    records_sql(BY_USER) + " SELECT record_id, mean_rr_ms > 0 AND isfinite(heart_rate_bpm) AND"
+    " coalesce(isfinite(rr_cv), true) AND coalesce(isfinite(rmssd_sdnn_ratio), true) AS derived_ok"
+    " FROM record",
+)
+def _(spark, sf_dir):
+    rows = record_table(spark, sf_dir, BY_USER)
+    return _verdicts(rows, "record_id", derived_ok=quality.derived_ok())
+
+
 @query(
     "expected_windows",
     curated_sql(BY_TYPE) + """, e AS (SELECT run_id, record_id,
