@@ -16,6 +16,7 @@ from beatloom.functions.ordered import (
     plan_split,
     with_previous,
 )
+from beatloom.session import ensure_checkpoint_dir
 
 RUN_ID, RUN_DATE = "r1", "2024-01-31"
 
@@ -47,6 +48,10 @@ def beats(
     rr = numbered.withColumn(
         "rr_interval_sec", F.col("t_peak_sec") - F.col("_prev_sec")
     ).withColumnRenamed("event_id", "peak_index").drop("_prev_sec")
+    if planned.cut_any:
+        # As a written interval table would be: the differences of a cut series read it twice.
+        ensure_checkpoint_dir(spark)
+        rr = rr.checkpoint()
     return rr, replace(planned, order=("t_peak_sec", "beat_index"))
 
 
