@@ -36,6 +36,7 @@ class DetectorWidths:
     threshold_tenths: int = 3
 
     def in_samples(self, fs: float) -> tuple[int, int, int, int]:
+        fs = round(fs, 6)  # the last bits of a measured rate must not decide a width
         return (
             max(1, round(self.baseline * fs)),
             max(1, round(self.energy * fs)),
@@ -182,7 +183,6 @@ def clean_signal(
     """`lead_0` minus its moving mean as `cleaned`; unfiltered where the mean has no full support."""
     keys = list(keys)
     schema = samples.select(*keys, "sample_index", F.col("lead_0").cast("double").alias("cleaned"))
-
     margin = widths.baseline + 0.1
 
     def clean(key: tuple, table: pa.Table) -> pa.Table:
