@@ -1,4 +1,4 @@
-"""Command line: run one stage or all of them, or look at a record's windows."""
+"""Command line: run one stage or all of them, check a run, or look at a record's windows."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from datetime import UTC, datetime
 
 from beatloom import constants as K
 from beatloom import schemas
+from beatloom.plans.gates import GATES
 from beatloom.plans.run import Run, run_all
 from beatloom.session import build_session
 from beatloom.sinks.tables import preview
@@ -19,16 +20,17 @@ STAGES = ("run", "ingest", "process", "aggregate")
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="beatloom", description=__doc__)
-    parser.add_argument("command", choices=[*STAGES, "preview"])
+    parser.add_argument("command", choices=[*STAGES, "check", "preview"])
     parser.add_argument("--root", required=True, help="where the layer tables live")
     parser.add_argument("--run-date", default=datetime.now(UTC).strftime("%Y-%m-%d"))
     parser.add_argument("--run-id", help="default: the run date and a random suffix")
     parser.add_argument("--waveforms", help="Parquet path of decoded waveforms")
     parser.add_argument("--ids", help="comma-separated records; wins over --range")
-    parser.add_argument("--range", help="inclusive range of numbers, such as 100-124")
+    parser.add_argument("--range", help="inclusive range of numbers, such as 7-12")
     parser.add_argument("--limit", help="cut the requested records; for preview, rows to show")
     parser.add_argument("--slice-seconds")
     parser.add_argument("--overwrite", action="store_true")
+    parser.add_argument("--gate", choices=GATES, action="append", help="default: all gates")
     parser.add_argument("--record-id", help="record to preview")
     args = parser.parse_args(argv)
     args.run_id = args.run_id or f"{args.run_date}_{uuid.uuid4().hex[:8]}"
@@ -49,6 +51,11 @@ def main(argv: list[str] | None = None) -> int:
             )
             preview(windows, args.run_id, args.record_id, int(args.limit or 3)).show(truncate=False)
             return 0
+        if args.command == "check":
+            run = Run(spark, args.root, args.run_id, args.run_date)
+            violations = run.check(args.gate or GATES)
+            violations.show(truncate=False)
+            return int(not violations.isEmpty())
         selection = {"ids": args.ids, "range": args.range, "limit": args.limit}
         where = (spark, args.root, args.run_id, args.run_date)
         if args.command == "run":
@@ -57,6 +64,11 @@ def main(argv: list[str] | None = None) -> int:
                 *where, waveforms, overwrite=args.overwrite, slice_seconds=args.slice_seconds,
                 **selection,
             )
+            if results[-1].service == K.AGGREGATION:
+                violations = Run(*where).check()
+                if not violations.isEmpty():
+                    violations.show(truncate=False)
+                    return 1
         else:
             run = Run(*where, args.overwrite, **selection)
             if args.command == "ingest":

@@ -6,7 +6,7 @@ MIN_RR_PER_WINDOW = 30
 PARTIAL_EPSILON_SEC = 1e-6
 PNN50_MS = 50.0
 PNN20_MS = 20.0
-PERCENTILE_ACCURACY = 10000
+PERCENTILE_ACCURACY = 10000  # of the sketch that brackets a quantile
 MS_PER_MINUTE = 60000.0
 
 # Layers and artifact names.

@@ -17,12 +17,10 @@ from beatloom import constants as K
 def upsert(
     base: DataFrame, updates: DataFrame, keys: Sequence[str], order: str | Sequence[str]
 ) -> DataFrame:
-    """`base` with `updates` applied: per key the row that is last by `order` wins, whole.
-
-    On equal order an update wins over the base row.
-    """
+    """`base` with `updates` applied: per key an update wins over the base row, whole; `order` picks
+    among several updates, and among several base rows where there is none."""
     both = base.withColumn("_update", F.lit(0)).unionByName(updates.withColumn("_update", F.lit(1)))
-    return latest(both, keys, [*_names(order), "_update"]).drop("_update")
+    return latest(both, keys, ["_update", *_names(order)]).drop("_update")
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: str | Sequence[str]) -> DataFrame:

@@ -170,6 +170,17 @@ def _sorted_columns(table: pa.Table, *names: str) -> list[np.ndarray]:
     return [index[order], *(table.column(n).to_numpy()[order] for n in names)]
 
 
+def _filled(x: np.ndarray) -> np.ndarray:
+    """Missing samples take the last value before them, those at the start the first value."""
+    if x.dtype.kind != "f":
+        return x
+    known = np.isfinite(x)
+    if known.all() or not known.any():
+        return x
+    last = np.maximum.accumulate(np.where(known, np.arange(len(x)), -1))
+    return x[np.where(last < 0, known.argmax(), last)]
+
+
 # --- cleaning ------------------------------------------------------------------------------
 
 
@@ -187,7 +198,7 @@ def clean_signal(
 
     def clean(key: tuple, table: pa.Table) -> pa.Table:
         index, x = _sorted_columns(table, "lead_0")
-        x, fs = x.astype(np.float64), table.column("fs")[0].as_py()
+        x, fs = _filled(x.astype(np.float64)), table.column("fs")[0].as_py()
         half = widths.in_samples(fs)[0]
         cleaned = x.copy()
         if len(x) > 2 * half:
@@ -273,7 +284,9 @@ def detect_peaks(
     def detect(key: tuple, table: pa.Table) -> pa.Table:
         index, x, t = _sorted_columns(table, "lead_0", "t_sec")
         fs = table.column("fs")[0].as_py()
-        peaks = _beats(x, index, fs, widths)
+        peaks = _beats(_filled(x), index, fs, widths)
+        if x.dtype.kind == "f":
+            peaks = peaks[np.isfinite(x[peaks])]  # no beat on a sample that is not there
         peaks = peaks[_own(index[peaks], key[-1].as_py(), fs, margin, segment_samples)]
         return _keyed(key[:-1], keys, peak_index=index[peaks], t_peak_sec=t[peaks])
 

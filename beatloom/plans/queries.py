@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatloom import constants as K
@@ -26,6 +26,7 @@ BY_TYPE = FeatureParams(width_sec=86_400.0, min_rr=30, pnn50_ms=600_000.0, pnn20
 BY_USER = FeatureParams(width_sec=604_800.0, min_rr=10, pnn50_ms=600_000.0, pnn20_ms=240_000.0)
 RECORD = {BY_TYPE: "event_type", BY_USER: "user_id"}
 SMALL_SEGMENTS = 150
+LARGE = 1e6
 
 
 def query(name: str, sql: str) -> Callable[[Query], Query]:
@@ -37,12 +38,13 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Computed doubles to four places: sums differ in the last bits with the order of rows."""
+    """Computed doubles to four places, large ones to one: sums differ in the last of their fifteen
+    digits with the order of rows, on values from a million on in the places behind the fourth."""
+    def shown(c: str) -> Column:
+        return F.when(F.abs(c) >= LARGE, F.round(c, 1)).otherwise(F.round(c, 4)).alias(c)
+
     return df.select(
-        [
-            F.round(c, 4).alias(c) if kind == "double" and c not in keep else F.col(c)
-            for c, kind in df.dtypes
-        ]
+        [shown(c) if kind == "double" and c not in keep else F.col(c) for c, kind in df.dtypes]
     )
 
 
@@ -141,7 +143,7 @@ record AS (
 def take(columns: str, table: str) -> str:
     """SELECT list where `name~` asks for four places."""
     parts = [
-        f"round({c[:-1]}, 4) AS {c[:-1]}" if c.endswith("~") else c for c in columns.split()
+        f"CASE WHEN abs({c[:-1]}) >= {LARGE} THEN round({c[:-1]}, 1) ELSE round({c[:-1]}, 4) END AS {c[:-1]}" if c.endswith("~") else c for c in columns.split()
     ]
     return f" SELECT {', '.join(parts)} FROM {table}"
 

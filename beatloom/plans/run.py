@@ -8,7 +8,7 @@ missing; with `overwrite` it replaces the selected records.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from beatloom import constants as K
 from beatloom.operators import catalog, quality, signal
 from beatloom.plans.features import FeatureParams, feature_tables
+from beatloom.plans.gates import GATES, GateTables, gate_report
 from beatloom.session import ensure_checkpoint_dir
 from beatloom.sinks import tables
 from beatloom.sinks.metadata import Metadata
@@ -29,7 +30,11 @@ class NoInputError(LookupError):
 
 
 class CountInvariantError(RuntimeError):
-    """Window and record interval counts disagree."""
+    """Window and record interval counts disagree; `offenders` has the records."""
+
+    def __init__(self, message: str, offenders: DataFrame):
+        super().__init__(message)
+        self.offenders = offenders
 
 
 class RunDateError(ValueError):
@@ -51,13 +56,11 @@ class StageResult:
 
 
 def valid_run_date(text: str | None) -> bool:
-    if not text or len(text) != 10:
-        return False
+    """A real calendar date, spelled the one way ISO 8601 extends it."""
     try:
-        datetime.strptime(text, "%Y-%m-%d")
+        return date.fromisoformat(text or "").isoformat() == text
     except ValueError:
         return False
-    return True
 
 
 def _listed(counts: dict[str, int]) -> str:
@@ -70,7 +73,9 @@ class Run:
     def __init__(
         self, spark: SparkSession, root: str, run_id: str, run_date: str, overwrite: bool = False,
         ids: str | None = None, range: str | None = None, limit: str | int | None = None,
+        records: RecordFilter | None = None,
     ):
+        """`records` is a selection made elsewhere, in place of the three texts."""
         if not run_id or not run_id.strip():
             raise ValueError("run_id is empty")
         if not valid_run_date(run_date):
@@ -79,24 +84,30 @@ class Run:
         self.spark, self.root = spark, root
         self.run_id, self.run_date, self.overwrite = run_id.strip(), run_date, overwrite
         self.metadata = Metadata(spark, root)
-        self._selection = (ids, range, limit)
+        self._selection, self._records = (ids, range, limit), records
 
     # --- small helpers ---
 
     def _selected(self) -> RecordFilter | None:
-        return parse_record_filter(*self._selection)
+        return self._records or parse_record_filter(*self._selection)
+
+    def _check_date(self) -> None:
+        """A run has one date; under another its tables would be looked for in the wrong place."""
+        known = self.metadata.current("runs").filter(F.col("run_id") == self.run_id).first()
+        if known is not None and known.run_date.isoformat() != self.run_date:
+            raise RunDateError(f"run {self.run_id!r} has the date {known.run_date}, not {self.run_date}")
 
     def _service(self, service: str, status: str, notes: str, started=False, ended=False) -> None:
         now = datetime.now(UTC)
         self.metadata.append_row(
-            "service_runs", run_id=self.run_id, service=service, status=status, notes=notes[:500],
+            "service_runs", run_id=self.run_id, service=service, status=status, notes=notes,
             started_at=now if started else None, ended_at=now if ended else None,
         )
 
     def _run_state(self, status: str, notes: str) -> None:
         self.metadata.append_row(
-            "runs", run_id=self.run_id, run_date=datetime.strptime(self.run_date, "%Y-%m-%d").date(),
-            status=status, notes=notes[:500],
+            "runs", run_id=self.run_id, run_date=date.fromisoformat(self.run_date),
+            status=status, notes=notes,
         )
 
     def _stamp(self, df: DataFrame) -> DataFrame:
@@ -144,6 +155,7 @@ class Run:
 
     def ingest(self, waveforms: DataFrame, slice_seconds=None) -> StageResult:
         """Waveforms (record_id, fs, signal, has_annotation) to the raw sample table."""
+        self._check_date()
         self._run_state(K.RUNNING, "ingesting waveforms")
         try:
             chosen = self._selected()
@@ -177,6 +189,7 @@ class Run:
 
     def process(self, widths: signal.DetectorWidths = signal.DetectorWidths()) -> StageResult:
         """Raw samples to the beat interval table."""
+        self._check_date()
         self._service(K.PROCESSING, K.RUNNING, "detecting beats", started=True)
         try:
             result = self._process(widths)
@@ -232,6 +245,7 @@ class Run:
 
     def aggregate(self, params: FeatureParams = FeatureParams()) -> StageResult:
         """Beat intervals to curated windows and the two modelling tables."""
+        self._check_date()
         self._service(K.AGGREGATION, K.RUNNING, "building features", started=True)
         try:
             result = self._aggregate(params)
@@ -292,13 +306,27 @@ class Run:
             windows_total=windows, window_rows=windows, record_rows=total, notes=_listed(counts),
         )
 
+    def check(self, gates=GATES, params: FeatureParams = FeatureParams()) -> DataFrame:
+        """Every violation of the contract in this run's tables (see `gates.gate_report`)."""
+        def of(layer: str, artifact: str) -> DataFrame:
+            return read_run(self.spark, self.root, layer, artifact, self.run_id, self.run_date)
+
+        def logged(table: str) -> DataFrame:
+            return self.metadata.current(table).filter(F.col("run_id") == self.run_id)
+
+        registered = self._discover(K.ML_READY, K.RECORD_FEATURES)
+        tables_ = GateTables(
+            of(K.PROCESSED, K.RR_INTERVALS), of(K.CURATED, K.WINDOW_FEATURES),
+            of(K.ML_READY, K.WINDOW_FEATURES_ML), of(K.ML_READY, K.RECORD_FEATURES),
+            self._stamp(registered), logged("artifacts"), logged("service_runs"), logged("runs"),
+        )
+        return gate_report(tables_, gates, params.width_sec)
+
     def _check_counts(self, rolled: DataFrame) -> None:
-        wrong = quality.rollup_count_mismatches(rolled).limit(5).collect()
-        if wrong:
-            sample = ";".join(
-                f"{r.record_id}:windows={r.window_n_rr_sum},record={r.n_rr}" for r in wrong
-            )
-            raise CountInvariantError(f"interval counts disagree ({sample})")
+        wrong = quality.rollup_count_mismatches(rolled).checkpoint()
+        number = wrong.count()
+        if number:
+            raise CountInvariantError(f"{number} records count other intervals than their windows", wrong)
 
     def _publish(self, made, records: DataFrame, pending: DataFrame) -> None:
         where = {"root": self.root, "run_id": self.run_id, "run_date": self.run_date}
@@ -306,6 +334,9 @@ class Run:
             made.curated.join(pending, "record_id", "left_semi").select(*made.curated.columns),
             pending, layer=K.CURATED, artifact=K.WINDOW_FEATURES, **where,
         )
+        # Neither table counts as complete until both are written.
+        for artifact in (K.WINDOW_FEATURES_ML, K.RECORD_FEATURES):
+            tables.mark_incomplete(self.spark, layer=K.ML_READY, artifact=artifact, **where)
         for artifact, table in (
             (K.WINDOW_FEATURES_ML, made.window_ml), (K.RECORD_FEATURES, made.record)
         ):

@@ -7,33 +7,22 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
 
-OBJECT_STORE_DEFAULTS = {
-    # Plain numbers, because older S3A clients cannot parse duration strings.
-    "spark.hadoop.fs.s3a.path.style.access": "true",
-    "spark.hadoop.fs.s3a.connection.establish.timeout": "60",
-    "spark.hadoop.fs.s3a.connection.timeout": "60000",
-    "spark.hadoop.fs.s3a.threads.keepalivetime": "60",
-    "spark.hadoop.fs.s3a.multipart.purge.age": "86400",
-}
-
-
 def object_store_conf(
     endpoint: str, access_key: str | None = None, secret_key: str | None = None
 ) -> dict[str, str]:
     """Spark settings for an S3-compatible store; pass them to `build_session(conf=...)`.
 
-    Without keys the store's own credential chain is used.
+    Without keys the store's own credential chain is used; timeouts are left to Hadoop.
     """
-    conf = dict(OBJECT_STORE_DEFAULTS)
-    conf["spark.hadoop.fs.s3a.endpoint"] = endpoint
-    conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] = str(endpoint.startswith("https:")).lower()
+    s3a = {
+        "endpoint": endpoint,
+        # Buckets of such stores are seldom host names of their own.
+        "path.style.access": "true",
+        "connection.ssl.enabled": str(not endpoint.startswith("http:")).lower(),
+    }
     if access_key and secret_key:
-        conf["spark.hadoop.fs.s3a.access.key"] = access_key
-        conf["spark.hadoop.fs.s3a.secret.key"] = secret_key
-        conf["spark.hadoop.fs.s3a.aws.credentials.provider"] = (
-            "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider"
-        )
-    return conf
+        s3a |= {"access.key": access_key, "secret.key": secret_key}
+    return {f"spark.hadoop.fs.s3a.{name}": value for name, value in s3a.items()}
 
 
 def build_session(

@@ -52,6 +52,18 @@ def mark_complete(
     path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
+def mark_incomplete(
+    spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
+) -> None:
+    """Take the marker away before the table changes."""
+    _delete(spark, _marker(root, layer, artifact, run_date, run_id))
+
+
+def _delete(spark: SparkSession, where: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written_records(
     spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
 ) -> DataFrame:
@@ -114,8 +126,7 @@ def write_records(
         stale = [r.record_id for r in emptied.toLocalIterator()]
     write_layer(df, root, layer, artifact)
     for record_id in stale:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/record_id={record_id}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, f"{base}/record_id={record_id}")
     mark_complete(spark, root, layer, artifact, run_id, run_date)
 
 
@@ -124,15 +135,20 @@ def write_run_level(
 ) -> None:
     """Replace the listed records in a table with one partition per run; other records stay.
 
-    The merged rows are checkpointed first, because they come from the partition they replace.
+    The merged rows are checkpointed first, because they come from the partition they replace. If
+    none are left, the old partition goes: an overwrite by no rows would not touch it.
     """
     spark = df.sparkSession
+    mark_incomplete(spark, root, layer, artifact, run_id, run_date)
     others = read_run(spark, root, layer, artifact, run_id, run_date).join(
         records.select("record_id"), "record_id", "left_anti"
     )
     if path_exists(spark, artifact_path(root, layer, artifact)):
         ensure_checkpoint_dir(spark)
         df = df.unionByName(others.select(*df.columns)).checkpoint()
+        if df.isEmpty():
+            key = artifact_key(layer, artifact, run_date, run_id)
+            _delete(spark, f"{root.rstrip('/')}/{key}")
     write_layer(df, root, layer, artifact, by_record=False)
     mark_complete(spark, root, layer, artifact, run_id, run_date)
 
@@ -144,6 +160,7 @@ class NoRowsError(LookupError):
     """Nothing to preview for the run and record."""
 
 
+# The columns a preview shows.
 PREVIEW_COLUMNS = [
     "window_start_sec", "n_rr", "mean_rr_ms", "sdnn_ms", "rmssd_ms", "pnn50", "heart_rate_bpm",
     "window_valid",
@@ -155,6 +172,6 @@ def preview(window_ml: DataFrame, run_id: str, record_id: str, limit: int = 3) -
     rows = window_ml.filter((F.col("run_id") == run_id) & (F.col("record_id") == record_id))
     if rows.isEmpty():
         raise NoRowsError(f"no windows for run {run_id!r}, record {record_id!r}")
-    return rows.orderBy(F.col("window_start_sec").cast("long")).limit(max(0, limit)).select(
+    return rows.orderBy("window_start_sec").limit(max(0, limit)).select(
         *PREVIEW_COLUMNS
     )

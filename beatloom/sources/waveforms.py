@@ -11,7 +11,13 @@ def _kept_samples(slice_seconds) -> tuple[Column, Column]:
     fs = F.col("fs").try_cast("int")
     first = F.get("signal", F.lit(0))
     seconds = _whole_seconds(slice_seconds)
-    kept = first if seconds is None else F.slice(first, F.lit(1), fs * F.lit(seconds))
+    if seconds is None:
+        return fs, first
+    # In long arithmetic, up to the samples there are; a rate that is not positive keeps none.
+    wanted = F.least(fs.cast("long") * F.lit(seconds).cast("decimal(38,0)"), F.size(first))
+    kept = F.when(fs > 0, F.slice(first, F.lit(1), wanted.cast("int"))).otherwise(
+        F.slice(first, F.lit(1), F.lit(0))
+    )
     return fs, kept
 
 
@@ -69,5 +75,8 @@ def waveform_quality(waveforms: DataFrame, run_id: str, slice_seconds=None) -> D
 
 
 def readable(quality: DataFrame) -> DataFrame:
-    """Rows of `waveform_quality` whose record has samples and a positive sampling rate."""
-    return quality.filter((F.col("sampling_hz") > 0) & (F.col("n_samples") > 0))
+    """Rows of `waveform_quality` whose record has samples and a positive sampling rate, and comes
+    once: of a repeated record no one can tell which samples are meant."""
+    good = quality.filter((F.col("sampling_hz") > 0) & (F.col("n_samples") > 0))
+    repeated = quality.groupBy("record_id").count().filter("count > 1")
+    return good.join(repeated, "record_id", "left_anti").select(*quality.columns)

@@ -14,6 +14,11 @@ from beatloom import schemas
 from beatloom.operators.signal import DetectorWidths
 from beatloom.plans.features import FeatureParams
 from beatloom.plans.run import Run
+from beatloom.sources.records import RecordFilter
+
+
+class BatchError(RuntimeError):
+    """No record of a micro-batch could be worked on."""
 
 
 def waveform_stream(spark: SparkSession, path: str, max_files: int = 1_000) -> DataFrame:
@@ -37,7 +42,8 @@ def process_arrivals(
     **trigger,
 ) -> StreamingQuery:
     """Start the query. Each micro-batch replaces exactly the records it brings, in every table, so
-    a batch repeated after a failure leaves the same tables as one that ran once."""
+    a batch repeated after a failure leaves the same tables as one that ran once. Single broken
+    records are counted in the run's metadata; a batch of nothing else is not committed."""
 
     def handle(batch: DataFrame, _: int) -> None:
         # Ids of one micro-batch, bounded by the files a trigger may take.
@@ -45,12 +51,14 @@ def process_arrivals(
         if not arrived:
             return
         run = Run(
-            batch.sparkSession, root, run_id, run_date, overwrite=True, ids=",".join(arrived)
+            batch.sparkSession, root, run_id, run_date, overwrite=True,
+            records=RecordFilter(ids=tuple(arrived)),
         )
-        if run.ingest(batch, slice_seconds).status == K.FAILED:
-            return
-        if run.process(widths).status != K.FAILED:
-            run.aggregate(params)
+        for stage in (lambda: run.ingest(batch, slice_seconds), lambda: run.process(widths)):
+            if (result := stage()).status == K.FAILED:
+                # The batch stays open: the next start takes it again.
+                raise BatchError(f"{result.service} failed for all {result.records_failed} records")
+        run.aggregate(params)
 
     return (
         waveforms.writeStream.foreachBatch(handle)
