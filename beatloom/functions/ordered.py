@@ -6,7 +6,9 @@ the last values and the row count over to the next segment. Results equal the pl
 
 Two ways to cut:
 
-* `plan_split` measures the keys and cuts only the heavy ones at quantiles of the order column.
+* `plan_split` measures the keys and cuts only the heavy ones at quantiles of the order column, in
+  several levels if one level of `MAX_CUTS_PER_KEY` cuts leaves segments too long: a segment has about
+  `rows_per_segment` rows, however large the key or the table is.
 * `block_split` cuts every key at multiples of a unique integer order column; it needs no pass.
 """
 
@@ -14,16 +16,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatloom.session import ensure_checkpoint_dir
+
 ROWS_PER_SEGMENT = 2_000_000
-MAX_HEAVY_KEYS = 20_000
+# Cuts of one level: the length of an array per heavy key. Longer keys get another level.
 MAX_CUTS_PER_KEY = 4_096
+BROADCAST_BYTES = 32 << 20
 
-_SEG, _SUB = "_segment", "_subsegment"
+_SEG, _SUB, _COARSE = "_segment", "_subsegment", "_coarse"
 
 
 @dataclass(frozen=True)
@@ -36,6 +41,8 @@ class Split:
     cuts: DataFrame | None = None
     most_cuts: int = 0
     has_ties: bool = False
+    small: bool = True
+    finer: Split | None = None
     blocks: bool = False
 
     @property
@@ -44,19 +51,33 @@ class Split:
 
     @property
     def partition(self) -> list[str]:
-        return [*self.keys, _SEG, _SUB] if self.cut_any else list(self.keys)
+        return [*self.keys, *self.segments] if self.cut_any else list(self.keys)
+
+    @property
+    def segments(self) -> list[str]:
+        """Columns that name a segment of a key, in its order."""
+        return [_SEG, _SUB] if self.finer is None else [*_coarse(self.keys), *self.finer.segments]
 
     def _block(self, index: str) -> Column:
         return F.expr(f"{index} div {self.rows_per_segment}")
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the segment columns, unless `df` already has them or nothing is cut."""
-        if not self.cut_any or _SEG in df.columns:
+        if not self.cut_any or set(self.segments) <= set(df.columns):
             return df
         if self.blocks:
             return df.withColumns({_SEG: self._block(self.order[0]), _SUB: F.lit(0).cast("long")})
+        if self.finer is not None:
+            return self.finer.assign(self._coarsely(df))
+        return self._level(df)
+
+    def _coarsely(self, df: DataFrame) -> DataFrame:
+        return self._level(df).withColumnsRenamed(dict(zip((_SEG, _SUB), _coarse(self.keys))))
+
+    def _level(self, df: DataFrame) -> DataFrame:
         value = F.col(self.order[0])
-        rows = df.join(F.broadcast(self.cuts), list(self.keys), "left").withColumn(_SEG, F.lit(0))
+        cuts = F.broadcast(self.cuts) if self.small else self.cuts
+        rows = df.join(cuts, list(self.keys), "left").withColumn(_SEG, F.lit(0))
         # Binary search for the number of cuts <= value, one generated projection per step.
         for step in _halving_steps(self.most_cuts):
             reached = f"get(_cuts, {_SEG} + {step - 1}) <= {self.order[0]}"
@@ -67,14 +88,23 @@ class Split:
         whole = F.lit(0).cast("long")
         tie_block = self._block(self.order[1]) if len(self.order) > 1 else whole
         segment = F.col(_SEG).cast("long") * 2 - tied.cast("long")
+        # Of a key cut on a level above, every part has a number; of an uncut key none.
+        above = [k for k in self.keys if k.startswith(_COARSE)]
+        uncut = F.when(F.col(above[0]).isNotNull(), whole) if above else F.lit(None).cast("long")
         return rows.withColumns(
             {
-                _SEG: F.when(F.col("_cuts").isNotNull(), segment),
+                _SEG: F.when(F.col("_cuts").isNotNull(), segment).otherwise(uncut),
                 _SUB: F.when(tied, tie_block).otherwise(whole),
             }
         ).drop("_cuts", "_ties")
 
 
+def _coarse(keys: Sequence[str]) -> list[str]:
+    """Names of a level's segment columns where another level follows."""
+    level = sum(k.startswith(_COARSE) for k in keys) // 2
+    return [f"{_COARSE}{level}", f"{_COARSE}{level}_sub"]
+
+
 def _halving_steps(most: int) -> list[int]:
     return [1 << p for p in reversed(range(max(1, most).bit_length()))]
 
@@ -94,66 +124,58 @@ def plan_split(
 ) -> Split:
     """Measure `df` and decide which keys to cut, and where.
 
-    One narrow counting pass; a second pass reads only the heavy keys, if there are any. Keys and
-    the first order column must be non-NULL in the rows that are ordered later. The cut table is
-    small by construction: a heavy key has more than total / MAX_HEAVY_KEYS rows, so there are
-    fewer than MAX_HEAVY_KEYS of them and their cuts together number no more than that either.
+    One narrow counting pass; if there are heavy keys, a second one reads only those. Keys and the
+    first order column must be non-NULL in the rows that are ordered later. Heavy keys and cuts are
+    checkpointed tables with at most a row per `rows_per_segment` rows of `df`; the driver sees
+    their totals only.
     """
     keys, order = tuple(keys), tuple(order)
-    spark = df.sparkSession
+    ensure_checkpoint_dir(df.sparkSession)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    seen = Observation()
-    largest_keys = (
-        sizes.observe(seen, F.sum("_n").alias("total"), F.max("_n").alias("largest"))
-        .filter(F.col("_n") > rows_per_segment)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HEAVY_KEYS)
-    )
-    found = largest_keys.collect()  # at most MAX_HEAVY_KEYS rows, usually none
-    measured = seen.get
-    total, largest = measured.get("total") or 0, measured.get("largest") or 0
-    rows = max(
-        rows_per_segment,
-        math.ceil(total / MAX_HEAVY_KEYS),
-        math.ceil(largest / MAX_CUTS_PER_KEY),
-    )
-    found = [r for r in found if r["_n"] > rows]
-    if not found:
-        return Split(keys, order, rows)
-
-    heavy = spark.createDataFrame(found, largest_keys.schema).select(*keys)
-    pieces = math.ceil(largest / rows)
+    heavy = sizes.filter(F.col("_n") > rows_per_segment).checkpoint()
+    seen = heavy.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("largest")).first()
+    if not seen["keys"]:
+        return Split(keys, order, rows_per_segment)
+
+    few = seen["keys"] * 64 <= BROADCAST_BYTES
+    marked = df.join(F.broadcast(heavy) if few else heavy, list(keys))
+    pieces = min(MAX_CUTS_PER_KEY, math.ceil(seen["largest"] / rows_per_segment))
     fractions = [i / pieces for i in range(1, pieces)]
-    quantiles = (
-        df.join(F.broadcast(heavy), list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx(order[0], fractions, max(10_000, 8 * pieces)).alias("_q"),
-        )
+    quantiles = marked.groupBy(*keys).agg(
+        F.max("_n").alias("_n"),
+        F.percentile_approx(order[0], fractions, max(10_000, 8 * pieces)).alias("_q"),
     )
     # Keep only as many cuts as the key's own size asks for.
-    wanted = F.ceil(F.col("_n") / F.lit(rows))
+    wanted = F.least(F.ceil(F.col("_n") / F.lit(rows_per_segment)), F.lit(pieces))
     thinned = F.filter(
         "_q",
         lambda _, i: F.floor((i + F.lit(1)) * wanted / F.lit(pieces))
         > F.floor(i * wanted / F.lit(pieces)),
     )
-    bounded = (
+    repeated = F.filter(
+        "_q", lambda v, i: F.coalesce(F.get("_q", i + F.lit(1)) == v, F.lit(False))
+    )
+    cuts = (
         quantiles.withColumn("_q", thinned)
-        .select(
-            *keys,
-            F.array_distinct("_q").alias("_cuts"),
-            F.array_distinct(
-                F.filter("_q", lambda v, i: F.coalesce(F.get("_q", i + F.lit(1)) == v, F.lit(False)))
-            ).alias("_ties"),
-        )
+        .select(*keys, F.array_distinct("_q").alias("_cuts"), F.array_distinct(repeated).alias("_ties"))
+        .checkpoint()
     )
-    cuts = bounded.collect()  # one row per heavy key
-    return Split(
-        keys, order, rows, spark.createDataFrame(cuts, bounded.schema),
-        most_cuts=max(len(r["_cuts"]) for r in cuts), has_ties=any(r["_ties"] for r in cuts),
+    made = cuts.agg(
+        F.max(F.size("_cuts")).alias("most"), F.max(F.size("_ties")).alias("ties"),
+        F.sum(F.size("_cuts")).alias("all"),
+    ).first()
+    split = Split(
+        keys, order, rows_per_segment, cuts, most_cuts=made["most"], has_ties=made["ties"] > 0,
+        small=16 * made["all"] + 64 * seen["keys"] <= BROADCAST_BYTES,
     )
+    if seen["largest"] <= MAX_CUTS_PER_KEY * rows_per_segment:
+        return split
+    # Segments of the largest keys are still too long: they are cut again, as keys of their own.
+    # What is tied is already in segments of its own, and not cut further.
+    longer = [*keys, *_coarse(keys)]
+    coarse = split._coarsely(df.select(*keys, *order)).filter(F.col(longer[-2]).isNotNull())
+    finer = plan_split(coarse, longer, order, rows_per_segment)
+    return replace(split, finer=finer) if finer.cut_any else split
 
 
 def with_previous(
@@ -181,12 +203,12 @@ def with_previous(
     out = rows.withColumns(added)
 
     if split.cut_any:
-        at = [*split.keys, _SEG, _SUB]
+        at = [*split.keys, *split.segments]
         carry = _carry(rows, split, previous, running)
-        # One row per segment. Planned cuts without ties make at most one more segment than there
-        # are cuts per key, a bounded number and safe to broadcast. Otherwise the count depends on
-        # the data, and the join runs on the partitioning the rows already have.
-        bounded = not split.blocks and not split.has_ties
+        # One row per segment after a key's first. One level of planned cuts without ties makes no
+        # more of them than there are cuts, whose size was checked. Otherwise the join runs on
+        # the partitioning the rows already have.
+        bounded = split.small and not (split.blocks or split.has_ties or split.finer)
         out = out.join(F.broadcast(carry) if bounded else carry, at, "left")
         first = F.col("_position") == 1
         for name in previous:
@@ -205,10 +227,10 @@ def _carry(
     rows: DataFrame, split: Split, previous: Mapping[str, str], running: Mapping[str, str]
 ) -> DataFrame:
     """Per cut segment: the last values of the segment before it, rows and sums ahead of it."""
-    at = [*split.keys, _SEG, _SUB]
+    at = [*split.keys, *split.segments]
     last = F.col(split.order[0]) if len(split.order) == 1 else F.struct(*split.order)
     tails = (
-        rows.filter(F.col(_SEG).isNotNull())
+        rows.filter(F.col(split.segments[0]).isNotNull())
         .groupBy(*at)
         .agg(
             F.count(F.lit(1)).alias("_rows"),
@@ -216,7 +238,7 @@ def _carry(
             *[F.sum(source).alias(f"_sum_{name}") for name, source in running.items()],
         )
     )
-    along = Window.partitionBy(*split.keys).orderBy(_SEG, _SUB)
+    along = Window.partitionBy(*split.keys).orderBy(*split.segments)
     ahead = along.rowsBetween(Window.unboundedPreceding, -1)
     return tails.select(
         *at,
@@ -227,4 +249,4 @@ def _carry(
 
 
 def drop_segments(df: DataFrame) -> DataFrame:
-    return df.drop(_SEG, _SUB)
+    return df.drop(_SEG, _SUB, *[c for c in df.columns if c.startswith(_COARSE)])

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from beatloom.functions import ordered
 from beatloom.functions.ordered import block_split, drop_segments, plan_split, with_previous
 from beatloom.functions.quantiles import exact_median, value_counts
 
@@ -49,6 +50,22 @@ def test_cut_equals_plain(spark, ties, rows_per_segment):
     assert as_set(got, *columns) == as_set(plain(df, "t", "i"), *columns)
 
 
+@pytest.mark.parametrize("ties", [[1.0, 2.0], [x / 7 for x in range(900)]])
+def test_levels_equal_plain(spark, monkeypatch, ties):
+    monkeypatch.setattr(ordered, "MAX_CUTS_PER_KEY", 4)
+    df = skewed(spark, ties)
+    split = plan_split(df, ["k"], ["t", "i"], 40)
+    assert split.finer is not None
+    rows = split.assign(df).groupBy(*split.partition).count()
+    assert rows.agg(F.max("count")).first()[0] <= 3 * 40
+    got = with_previous(df, split, {"before": "v"}, "position", {"upto": "i"})
+    again = with_previous(got, split, {"before2": "v"})
+    columns = ["k", "i", "before", "position", "upto"]
+    assert as_set(again, *columns) == as_set(plain(df, "t", "i"), *columns)
+    assert as_set(again, "k", "i", "before2") == as_set(plain(df, "t", "i"), "k", "i", "before")
+    assert not any(c.startswith("_") for c in drop_segments(again).columns)
+
+
 def test_no_heavy_key_means_no_cut(spark):
     df = skewed(spark, [1.0, 2.0])
     split = plan_split(df, ["k"], ["t", "i"], 10_000)
