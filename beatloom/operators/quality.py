@@ -208,6 +208,16 @@ def interval_counts(curated: DataFrame, records: DataFrame, rr: DataFrame) -> Da
     return joined.fillna(0, ["window_n_rr", "record_n_rr", "source_n_rr"])
 
 
+def rollup_interval_counts(rollups: DataFrame, rr: DataFrame) -> DataFrame:
+    """`interval_counts` from `record_rollups`, which has both of its legs already."""
+    legs = rollups.select(
+        *K.RECORD_KEY, F.col("window_n_rr_sum").alias("window_n_rr"), F.col("n_rr").alias("record_n_rr")
+    )
+    source = rr.groupBy(*K.RECORD_KEY).agg(F.count("rr_interval_sec").alias("source_n_rr"))
+    joined = legs.join(source, K.RECORD_KEY, "full")
+    return joined.fillna(0, ["window_n_rr", "record_n_rr", "source_n_rr"])
+
+
 def counts_agree() -> Column:
     return (F.col("window_n_rr") == F.col("record_n_rr")) & (
         F.col("source_n_rr") == F.col("record_n_rr")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,12 @@ from beatloom import constants as K
 from beatloom.functions import hrv
 from beatloom.functions.ordered import ROWS_PER_SEGMENT, drop_segments
 from beatloom.operators import catalog, quality, rollups, signal, windows
-from beatloom.plans import views
+from beatloom.plans import gates, views
 from beatloom.plans.features import FeatureParams, FeatureTables, feature_tables
+from beatloom.session import ensure_checkpoint_dir
 from beatloom.sinks import tables
 from beatloom.sources import waveforms as wf
+from beatloom.sources.layers import read_rr, read_run
 from beatloom.sources.records import filter_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -485,6 +488,29 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "waveform_ingest_two_leads_whole",
+    "SELECT CAST(vec_id AS VARCHAR) AS record_id, i - 1 AS sample_index,"
+    " (i - 1) / 10.0::DOUBLE AS t_sec, CAST(embedding[i] AS DOUBLE) AS lead_0,"
+    " CAST(embedding[len(embedding) + 1 - i] AS DOUBLE) AS lead_1 FROM (SELECT vec_id, embedding,"
+    " unnest(generate_series(1, len(embedding))) AS i FROM embeddings)",
+)
+def _(spark, sf_dir):
+    rows = views.waveforms(spark, sf_dir, fs=10.0, leads=3)
+    return wf.ingest_waveforms(rows, views.RUN_ID, views.RUN_DATE).drop("run_id", "run_date")
+
+
+@query(
+    "waveform_qc_whole",
+    "SELECT 'r1' AS run_id, CAST(vec_id AS VARCHAR) AS record_id, 10 AS sampling_hz,"
+    " CAST(len(embedding) AS BIGINT) AS n_samples, 2 AS n_channels,"
+    " coalesce(label = 0, false) AS atr_exists FROM embeddings",
+)
+def _(spark, sf_dir):
+    rows = views.waveforms(spark, sf_dir, fs=10.0, leads=3)
+    return wf.waveform_quality(rows, views.RUN_ID)
+
+
 @query(
     "waveform_qc",
     "SELECT 'r1' AS run_id, CAST(vec_id AS VARCHAR) AS record_id, 10 AS sampling_hz,"
@@ -742,6 +768,24 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "upsert_out_of_order",
+    "SELECT o_custkey, o_orderstatus, o_orderkey, o_totalprice, o_orderdate FROM orders QUALIFY"
+    " row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY (o_totalprice < 100000) DESC,"
+    " o_orderdate DESC, o_orderkey DESC) = 1",
+)
+def _(spark, sf_dir):
+    # Updates are the cheap orders, so their dates lie on both sides of the base's.
+    orders = views.table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice", "o_orderdate"
+    )
+    cheap = F.col("o_totalprice") < 100_000
+    return catalog.upsert(
+        orders.filter(~cheap), orders.filter(cheap), ["o_custkey", "o_orderstatus"],
+        ["o_orderdate", "o_orderkey"],
+    )
+
+
 STATES_SQL = """WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS run_id, o_orderstatus AS service,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'failed' ELSE o_orderpriority END AS status,
   'order ' || CAST(o_orderkey AS VARCHAR) AS notes,
@@ -1016,7 +1060,7 @@ FROM rolled JOIN record USING (run_id, record_id) JOIN source USING (run_id, rec
 def _(spark, sf_dir):
     rr, split = views.beats(spark, sf_dir, "user_id")
     made = feature_tables(rr, params=BY_USER, split=split)
-    counts = quality.interval_counts(made.curated, made.record, drop_segments(rr))
+    counts = quality.rollup_interval_counts(made.rollups, drop_segments(rr))
     return counts.withColumn("agrees", quality.counts_agree())
 
 
@@ -1046,13 +1090,21 @@ def _(spark, sf_dir):
     return quality.key_parity(rows, valid)
 
 
-@query("determinism", "SELECT CAST(0 AS BIGINT) AS differing_rows")
+@query(
+    "determinism",
+    curated_sql(BY_TYPE) + " SELECT record_id, count(*) AS windows, sum(n_rr)::BIGINT AS n_rr,"
+    " CAST(0 AS BIGINT) AS differing_rows FROM curated GROUP BY record_id",
+)
 def _(spark, sf_dir):
     plain = rounded(curated(spark, sf_dir, BY_TYPE))
     segmented = rounded(curated(spark, sf_dir, BY_TYPE, SMALL_SEGMENTS))
-    return quality.differing_rows(plain, segmented).agg(
+    differing = quality.differing_rows(plain, segmented).groupBy("record_id").agg(
         F.count(F.lit(1)).alias("differing_rows")
     )
+    totals = segmented.groupBy("record_id").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("n_rr").alias("n_rr")
+    )
+    return totals.join(differing, "record_id", "left").fillna(0, ["differing_rows"])
 
 
 @query(
@@ -1067,3 +1119,65 @@ def _(spark, sf_dir):
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("run_date"),
     )
     return quality.several_run_dates(rows)
+
+
+# --- gates and stored layers -----------------------------------------------------------------
+
+
+@query(
+    "gate_report",
+    curated_sql(BY_USER) + """, n AS (
+  SELECT right(record_id, 1) AS last, record_id, count(*) AS w FROM curated GROUP BY ALL)
+SELECT 'B' AS gate, 'misaligned_window' AS check, record_id, w AS violations FROM n WHERE last = '1'
+UNION ALL SELECT 'B', 'coverage', record_id, w FROM n WHERE last = '2'
+UNION ALL SELECT 'C', 'window_fraction', record_id, w FROM n WHERE last = '3'
+UNION ALL SELECT 'C', 'window_parity', record_id, 2 * w FROM n WHERE last = '1'
+UNION ALL SELECT 'C', 'window_parity', record_id, w FROM n WHERE last = '4'""",
+)
+def _(spark, sf_dir):
+    rows = curated(spark, sf_dir, BY_USER)
+    last = F.substring("record_id", -1, 1)
+    planted = gates.GateTables(
+        curated=rows.withColumns({
+            "window_start_sec": F.col("window_start_sec") + F.when(last == "1", 1.0).otherwise(0.0),
+            "window_coverage_sec": F.when(last == "2", -1.0).otherwise(F.col("window_coverage_sec")),
+        }),
+        window_ml=windows.window_features_ml(rows).filter(last != "4").withColumn(
+            "pnn50", F.when(last == "3", 1.5).otherwise(F.col("pnn50"))
+        ),
+    )
+    report = gates.gate_report(planted, width_sec=BY_USER.width_sec)
+    return report.groupBy("gate", "check", "record_id").agg(F.count(F.lit(1)).alias("violations"))
+
+
+def _fresh_root(spark) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/layers-{uuid.uuid4().hex}"
+
+
+@query("layer_roundtrip", rr_sql(BY_TYPE) + RR_ROWS)
+def _(spark, sf_dir):
+    root, rr = _fresh_root(spark), views.intervals(spark, sf_dir, "event_type")
+    records = rr.select("record_id").distinct()
+    tables.write_records(rr, records, root, K.PROCESSED, K.RR_INTERVALS, views.RUN_ID, views.RUN_DATE)
+    return read_rr(spark, root, views.RUN_ID, views.RUN_DATE).drop("run_id", "run_date")
+
+
+@query(
+    "run_level_overwrite",
+    curated_sql(BY_USER) + """ SELECT record_id, CAST(window_start_sec AS BIGINT) AS window_start_sec,
+  n_rr, CASE WHEN right(record_id, 1) = '3' THEN -1.0 ELSE round(pnn50, 4) END AS pnn50
+FROM curated WHERE right(record_id, 1) <> '7'""",
+)
+def _(spark, sf_dir):
+    root, last = _fresh_root(spark), F.substring("record_id", -1, 1)
+    where = (root, K.ML_READY, K.WINDOW_FEATURES_ML, views.RUN_ID, views.RUN_DATE)
+    rows = windows.window_features_ml(curated(spark, sf_dir, BY_USER))
+    tables.write_run_level(rows, rows.select("record_id").distinct(), *where)
+    # A second write replaces the records in 3 and empties those in 7; the others stay.
+    stored = read_run(spark, root, *where[1:])
+    replaced = stored.filter(last.isin("3", "7")).select("record_id").distinct().checkpoint()
+    new = stored.filter(last == "3").withColumn("pnn50", F.lit(-1.0))
+    tables.write_run_level(new, replaced, *where)
+    found = read_run(spark, root, *where[1:])
+    return rounded(found.select("record_id", "window_start_sec", "n_rr", "pnn50"))
