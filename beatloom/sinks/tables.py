@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beatloom import constants as K
 from beatloom.session import ensure_checkpoint_dir
-from beatloom.sources.layers import artifact_key, artifact_path, path_exists, read_run
+from beatloom.sources.layers import artifact_path, escaped, path_exists, read_run, run_path
 
 
 class PartialOutputError(RuntimeError):
@@ -33,22 +33,24 @@ def output_state(first_exists: bool, second_exists: bool, overwrite: bool) -> Ou
 # --- completeness --------------------------------------------------------------------------
 
 
-def _marker(root: str, layer: str, artifact: str, run_date: str, run_id: str) -> str:
-    return f"{root.rstrip('/')}/{artifact_key(layer, artifact, run_date, run_id)}/_SUCCESS"
+def _marker(
+    spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
+) -> str:
+    return f"{run_path(spark, root, layer, artifact, run_id, run_date)}/_SUCCESS"
 
 
 def is_complete(
     spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
 ) -> bool:
     """Whether the run's part of the table was written to its end."""
-    return path_exists(spark, _marker(root, layer, artifact, run_date, run_id))
+    return path_exists(spark, _marker(spark, root, layer, artifact, run_id, run_date))
 
 
 def mark_complete(
     spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
 ) -> None:
     """Set the run's marker, also for a run without rows. Readers ignore the file."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_marker(root, layer, artifact, run_date, run_id))
+    path = spark._jvm.org.apache.hadoop.fs.Path(_marker(spark, root, layer, artifact, run_id, run_date))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
@@ -56,7 +58,7 @@ def mark_incomplete(
     spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
 ) -> None:
     """Take the marker away before the table changes."""
-    _delete(spark, _marker(root, layer, artifact, run_date, run_id))
+    _delete(spark, _marker(spark, root, layer, artifact, run_id, run_date))
 
 
 def _delete(spark: SparkSession, where: str) -> None:
@@ -115,7 +117,7 @@ def write_records(
     A listed record that has no rows any more loses its old partition.
     """
     spark = df.sparkSession
-    base = f"{root.rstrip('/')}/{artifact_key(layer, artifact, run_date, run_id)}"
+    base = run_path(spark, root, layer, artifact, run_id, run_date)
     stale = []
     if path_exists(spark, base):
         before = written_records(spark, root, layer, artifact, run_id, run_date)
@@ -126,7 +128,7 @@ def write_records(
         stale = [r.record_id for r in emptied.toLocalIterator()]
     write_layer(df, root, layer, artifact)
     for record_id in stale:
-        _delete(spark, f"{base}/record_id={record_id}")
+        _delete(spark, f"{base}/record_id={escaped(spark, record_id)}")
     mark_complete(spark, root, layer, artifact, run_id, run_date)
 
 
@@ -147,8 +149,7 @@ def write_run_level(
         ensure_checkpoint_dir(spark)
         df = df.unionByName(others.select(*df.columns)).checkpoint()
         if df.isEmpty():
-            key = artifact_key(layer, artifact, run_date, run_id)
-            _delete(spark, f"{root.rstrip('/')}/{key}")
+            _delete(spark, run_path(spark, root, layer, artifact, run_id, run_date))
     write_layer(df, root, layer, artifact, by_record=False)
     mark_complete(spark, root, layer, artifact, run_id, run_date)
 

@@ -31,6 +31,19 @@ def artifact_key(layer: str, artifact: str, run_date: str, run_id: str) -> str:
     return f"{layer}/{artifact}/run_date={run_date}/run_id={run_id}"
 
 
+def run_path(
+    spark: SparkSession, root: str, layer: str, artifact: str, run_id: str, run_date: str
+) -> str:
+    """Folder of a run's part of a layer table, spelled as Spark's writer spells it."""
+    spelled = [f"run_date={escaped(spark, run_date)}", f"run_id={escaped(spark, run_id)}"]
+    return "/".join([artifact_path(root, layer, artifact), *spelled])
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in a path."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence through Hadoop, for any file system; its errors surface."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -72,13 +85,17 @@ def read_run(
     run_date: str,
     records: RecordFilter | DataFrame | None = None,
 ) -> DataFrame:
-    """One run's rows, optionally of some records: partition filters, so the rest is not read.
+    """One run's rows, optionally of some records: only the run's folder is listed, however many
+    runs the table holds, and partition filters spare the other records.
 
     A short DataFrame of `record_id`s becomes a list in the filter, a longer one a semi-join.
     """
-    table = read_layer(spark, root, layer, artifact).filter(
-        (F.col("run_date") == run_date) & (F.col("run_id") == run_id)
-    )
+    schema, path = SCHEMAS[artifact], run_path(spark, root, layer, artifact, run_id, run_date)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    base = artifact_path(root, layer, artifact)
+    table = spark.read.schema(schema).option("basePath", base).parquet(path)
+    table = table.select(*schema.fieldNames())
     if isinstance(records, RecordFilter):
         return table.filter(records.condition())
     if records is not None:

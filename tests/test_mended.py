@@ -16,6 +16,7 @@ from beatloom.plans.features import feature_tables
 from beatloom.plans.run import Run, RunDateError, run_all, valid_run_date
 from beatloom.sinks import tables
 from beatloom.sources import waveforms as wf
+from beatloom.sources.layers import read_run
 from beatloom.streaming.arrivals import BatchError, process_arrivals, waveform_stream
 
 
@@ -144,3 +145,19 @@ def test_gates(spark, tmp_path):
     assert {r.gate for r in gates.gate_report(bad, ["B"]).collect()} == {"B"}
     with pytest.raises(ValueError):
         gates.gate_report(bad, ["X"])
+
+
+def test_reading_a_run_lists_only_its_files(spark, tmp_path):
+    root, rr = str(tmp_path), beat_rows(spark, [("a:1", 0, 1.0, None), ("b", 0, 1.0, None)])
+    records = rr.select("record_id").distinct()
+    where = (root, "processed", "rr_intervals_v1")
+    for run_id in ("odd:run=1", "other", "more"):
+        rows = rr.withColumn("run_id", F.lit(run_id))
+        tables.write_records(rows, records, *where, run_id, DAY)
+    found = read_run(spark, *where, "odd:run=1", DAY)
+    assert {r.record_id for r in found.collect()} == {"a:1", "b"}
+    assert len(found.inputFiles()) == 2  # not those of the other runs
+    # A record that lost its rows goes, whatever its name.
+    only_b = rr.filter("record_id = 'b'").withColumn("run_id", F.lit("odd:run=1"))
+    tables.write_records(only_b, records, *where, "odd:run=1", DAY)
+    assert {r.record_id for r in read_run(spark, *where, "odd:run=1", DAY).collect()} == {"b"}
