@@ -474,6 +474,29 @@ def _(spark, sf_dir):
     return wf.ingest_waveforms(views.waveforms(spark, sf_dir), views.RUN_ID, views.RUN_DATE)
 
 
+@query(
+    "waveform_ingest_chunked",
+    "SELECT 'r1' AS run_id, '2024-01-31' AS run_date, CAST(vec_id AS VARCHAR) AS record_id,"
+    " i - 1 AS sample_index, (i - 1) / 360.0::DOUBLE AS t_sec,"
+    " CAST(embedding[i] AS DOUBLE) AS lead_0, 0.0::DOUBLE AS lead_1"
+    " FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)",
+)
+def _(spark, sf_dir):
+    chunks = views.chunked(views.waveforms(spark, sf_dir), 20)
+    return wf.ingest_waveforms(chunks, views.RUN_ID, views.RUN_DATE)
+
+
+@query(
+    "waveform_qc_chunked",
+    "SELECT 'r1' AS run_id, CAST(vec_id AS VARCHAR) AS record_id, 10 AS sampling_hz,"
+    " CAST(least(30, len(embedding)) AS BIGINT) AS n_samples, 2 AS n_channels,"
+    " coalesce(label = 0, false) AS atr_exists FROM embeddings",
+)
+def _(spark, sf_dir):
+    chunks = views.chunked(views.waveforms(spark, sf_dir, fs=10.0, leads=3), 20)
+    return wf.waveform_quality(chunks, views.RUN_ID, slice_seconds=3)
+
+
 @query(
     "waveform_ingest_two_leads",
     "SELECT CAST(vec_id AS VARCHAR) AS record_id, i - 1 AS sample_index,"

@@ -154,7 +154,8 @@ class Run:
     # --- stages ---
 
     def ingest(self, waveforms: DataFrame, slice_seconds=None) -> StageResult:
-        """Waveforms (record_id, fs, signal, has_annotation) to the raw sample table."""
+        """Waveforms (record_id, fs, signal, has_annotation), whole or in chunks (with first_sample),
+        to the raw sample table."""
         self._check_date()
         self._run_state(K.RUNNING, "ingesting waveforms")
         try:

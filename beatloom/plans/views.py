@@ -75,6 +75,16 @@ def waveforms(spark: SparkSession, sf_dir: str, fs: float = 360.0, leads: int =
     )
 
 
+def chunked(waves: DataFrame, samples: int) -> DataFrame:
+    """Waveforms as chunks of that many samples, each with its first sample's position."""
+    length = F.size(F.get("signal", F.lit(0)))
+    starts = waves.withColumn(
+        "first_sample", F.explode(F.sequence(F.lit(0), length - 1, F.lit(samples)))
+    )
+    cut = F.transform("signal", lambda lead: F.slice(lead, F.col("first_sample") + 1, F.lit(samples)))
+    return starts.withColumn("signal", cut)
+
+
 def samples(
     spark: SparkSession, sf_dir: str, rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Decoded multi-lead waveforms as sample rows. Narrow work: no shuffle, one pass."""
+"""Decoded multi-lead waveforms as sample rows. Narrow work: no shuffle, one pass.
+
+A recording is one row, or as many rows as it has chunks: with a column `first_sample`, the position of
+the chunk's first sample in its recording, no row has to hold a whole recording.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _kept_samples(slice_seconds) -> tuple[Column, Column]:
+FIRST_SAMPLE = "first_sample"
+
+
+def _offset(waveforms: DataFrame) -> Column:
+    whole = F.col(FIRST_SAMPLE) if FIRST_SAMPLE in waveforms.columns else F.lit(0)
+    return whole.cast("long")
+
+
+def _kept_samples(slice_seconds, offset: Column) -> tuple[Column, Column]:
     """(sampling rate as a whole number, first channel cut to the slice)."""
     fs = F.col("fs").try_cast("int")
     first = F.get("signal", F.lit(0))
@@ -14,7 +26,8 @@ def _kept_samples(slice_seconds) -> tuple[Column, Column]:
     if seconds is None:
         return fs, first
     # In long arithmetic, up to the samples there are; a rate that is not positive keeps none.
-    wanted = F.least(fs.cast("long") * F.lit(seconds).cast("decimal(38,0)"), F.size(first))
+    left = fs.cast("long") * F.lit(seconds).cast("decimal(38,0)") - offset
+    wanted = F.greatest(F.least(left, F.size(first)), F.lit(0))
     kept = F.when(fs > 0, F.slice(first, F.lit(1), wanted.cast("int"))).otherwise(
         F.slice(first, F.lit(1), F.lit(0))
     )
@@ -37,7 +50,8 @@ def ingest_waveforms(
 
     The leads are zipped before they are exploded so that no row drags the whole record along.
     """
-    fs, kept = _kept_samples(slice_seconds)
+    offset = _offset(waveforms)
+    fs, kept = _kept_samples(slice_seconds, offset)
     two = F.size("signal") >= 2
     zipped = F.arrays_zip(
         kept.alias("a"),
@@ -48,13 +62,13 @@ def ingest_waveforms(
         .otherwise(F.transform(kept, lambda v: F.struct(v.alias("a"), F.lit(0.0).alias("b"))))
         .alias("leads")
     )
-    return waveforms.select("record_id", fs.alias("fs"), leads).select(
-        "record_id", "fs", F.posexplode("leads").alias("sample_index", "lead")
-    ).select(
+    return waveforms.select("record_id", fs.alias("fs"), offset.alias("at"), leads).select(
+        "record_id", "fs", "at", F.posexplode("leads").alias("position", "lead")
+    ).withColumn("sample_index", F.col("at") + F.col("position")).select(
         F.lit(run_id).alias("run_id"),
         F.lit(run_date).alias("run_date"),
         "record_id",
-        F.col("sample_index").cast("long").alias("sample_index"),
+        "sample_index",
         (F.col("sample_index") / F.col("fs").cast("double")).alias("t_sec"),
         F.col("lead")["a"].cast("double").alias("lead_0"),
         F.col("lead")["b"].cast("double").alias("lead_1"),
@@ -62,15 +76,35 @@ def ingest_waveforms(
 
 
 def waveform_quality(waveforms: DataFrame, run_id: str, slice_seconds=None) -> DataFrame:
-    """Sampling rate, kept samples, channels (at most two) and annotation flag per record."""
-    fs, kept = _kept_samples(slice_seconds)
-    return waveforms.select(
+    """Sampling rate, kept samples, channels (at most two) and annotation flag per record.
+
+    Chunks that overlap, leave gaps or differ in rate or channels count as no samples at all.
+    """
+    offset = _offset(waveforms)
+    fs, kept = _kept_samples(slice_seconds, offset)
+    rows = waveforms.select(
         F.lit(run_id).alias("run_id"),
         "record_id",
         fs.alias("sampling_hz"),
         F.size(kept).cast("long").alias("n_samples"),
         F.when(F.size("signal") >= 2, 2).otherwise(1).alias("n_channels"),
         F.coalesce("has_annotation", F.lit(False)).alias("atr_exists"),
+        offset.alias("_from"),
+        F.size(F.get("signal", F.lit(0))).cast("long").alias("_size"),
+    )
+    if FIRST_SAMPLE not in waveforms.columns:
+        return rows.drop("_from", "_size")
+    same = lambda c: F.min(c).eqNullSafe(F.max(c))
+    # Without a chunk's start twice, the sizes add up to the end only if nothing is missing.
+    whole = (
+        (F.sum("_size") == F.max(F.col("_from") + F.col("_size"))) & (F.min("_from") == 0)
+        & (F.count_distinct("_from") == F.count(F.lit(1))) & same("sampling_hz") & same("n_channels")
+    )
+    return rows.groupBy("run_id", "record_id").agg(
+        F.max("sampling_hz").alias("sampling_hz"),
+        F.when(whole, F.sum("n_samples")).otherwise(0).alias("n_samples"),
+        F.max("n_channels").alias("n_channels"),
+        F.bool_or("atr_exists").alias("atr_exists"),
     )
 
 

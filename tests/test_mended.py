@@ -161,3 +161,21 @@ def test_reading_a_run_lists_only_its_files(spark, tmp_path):
     only_b = rr.filter("record_id = 'b'").withColumn("run_id", F.lit("odd:run=1"))
     tables.write_records(only_b, records, *where, "odd:run=1", DAY)
     assert {r.record_id for r in read_run(spark, *where, "odd:run=1", DAY).collect()} == {"b"}
+
+
+def test_broken_chunks_fail_their_record(spark, tmp_path):
+    x = waveform("x", 20)[2][0]
+    half = len(x) // 2
+    rows = [("ok", 0, x[:half]), ("ok", half, x[half:]), ("gap", 0, x[:half]), ("gap", half + 1, x[half:]),
+            ("twice", 0, x[:half]), ("twice", 0, x[:half]), ("late", 5, x)]
+    chunks = spark.createDataFrame(
+        [(r, at, 120.0, [part], False) for r, at, part in rows],
+        "record_id string, first_sample long, fs double, signal array<array<double>>, has_annotation boolean",
+    )
+    sizes = {r.record_id: r.n_samples for r in wf.waveform_quality(chunks, "c").collect()}
+    assert sizes == {"ok": len(x), "gap": 0, "twice": 0, "late": 0}
+    run = Run(spark, str(tmp_path), "c", DAY)
+    result = run.ingest(chunks)
+    assert (result.records_ok, result.records_failed) == (1, 3)
+    raw = table(spark, str(tmp_path), "raw", "ecg", "c").orderBy("sample_index").collect()
+    assert [r.lead_0 for r in raw] == x and [r.sample_index for r in raw] == list(range(len(x)))
