@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,22 +55,22 @@ BASE = KINDS[:3]
 
 @dataclass(frozen=True)
 class Pattern:
-    """`hint` is a cheap test a text must pass to be searched; `value` the group whose length and
-    looks decide about a match."""
+    """A text is searched only if it holds one of `hints` (any text, if there are none); `value` is
+    the group whose length and looks decide about a match."""
 
     name: str
     regex: str
-    hint: str
+    hints: tuple[str, ...] = ()
     value: int = 0
 
 
 PATTERNS: tuple[Pattern, ...] = (
-    Pattern("assign", ASSIGN, "contains_any(:=)", 2),
-    Pattern("access", ACCESS, "AKIA"),
-    Pattern("hex", HEX, ""),
-    Pattern("ident", IDENT, "contains_any(:=)"),
-    Pattern("run", RUN, ""),
-    Pattern("endpoint", ENDPOINT, "://"),
+    Pattern("assign", ASSIGN, (":", "="), value=2),
+    Pattern("access", ACCESS, ("AKIA",)),
+    Pattern("hex", HEX),
+    Pattern("ident", IDENT, (":", "=")),
+    Pattern("run", RUN),
+    Pattern("endpoint", ENDPOINT, ("://",)),
 )
 _MATCH = "array<struct<gap:int,len:int,value:int,mixed:boolean>>"
 
@@ -77,11 +79,9 @@ def _found(text: Column, p: Pattern) -> Column:
     """Matches of one pattern, each with the length of the gap before it."""
     whole = F.regexp_extract_all(text, F.lit(p.regex), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(p.regex), F.lit(p.value)) if p.value else whole
-    if p.hint.startswith("contains_any"):
-        worth = F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))
-    else:
-        worth = F.contains(text, F.lit(p.hint)) if p.hint else F.lit(True)
-    worth = worth & text.rlike(p.regex)
+    worth = text.rlike(p.regex)
+    if p.hints:
+        worth = reduce(or_, [F.contains(text, F.lit(h)) for h in p.hints]) & worth
     rows = F.transform(
         F.arrays_zip(
             F.split(text, p.regex, -1).alias("g"), whole.alias("m"), value.alias("v")
