@@ -46,8 +46,40 @@ def _bit_length(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of `width`-bit values as rows of bytes, lowest bit first: 64 values make `width` words.
+
+    Works down the 64 places of a word group, on all groups at once.
+    """
+    groups = np.ascontiguousarray(values.reshape(-1, 64).T).astype(np.uint64)
+    words = np.zeros((width, groups.shape[1]), np.uint64)
+    for k in range(64):
+        at, shift = divmod(k * width, 64)
+        words[at] |= groups[k] << np.uint64(shift)
+        if shift + width > 64:
+            words[at + 1] |= groups[k] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(values), -1)
+
+
+def _unpack(body: np.ndarray, width: int, block: int) -> np.ndarray:
+    """The reverse of `_pack`."""
+    words = np.ascontiguousarray(body.view("<u8").reshape(-1, width).T).astype(np.uint64)
+    groups = np.empty((64, words.shape[1]), np.uint32)
+    mask = np.uint64((1 << width) - 1)
+    for k in range(64):
+        at, shift = divmod(k * width, 64)
+        value = words[at] >> np.uint64(shift)
+        if shift + width > 64:
+            value |= words[at + 1] << np.uint64(64 - shift)
+        groups[k] = value & mask
+    return np.ascontiguousarray(groups.T).reshape(-1, block)
+
+
 def pack_ids(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> bytes:
-    """One segment of unsigned 32-bit ids; none make a segment without blocks."""
+    """One segment of unsigned 32-bit ids; none make a segment without blocks.
+
+    `block` is a multiple of 64.
+    """
     ids = np.asarray(ids, np.uint32)
     count = -(-len(ids) // block)
     if not count:
@@ -57,10 +89,9 @@ def pack_ids(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE
     rows = np.concatenate([ids, np.full(fill, ids[-1], np.uint32)]).reshape(count, block)
     least = rows.min(axis=1)
     rest = rows - least[:, None]
-    bits = _bit_length(rest)
     at = min(block - 1, int(np.ceil(block * percentile / 100)) - 1)
-    width = np.partition(bits, at, axis=1)[:, at]
-    long = bits > width[:, None]
+    width = _bit_length(np.partition(rest, at, axis=1)[:, at])
+    long = rest >= (np.uint64(1) << width.astype(np.uint64))[:, None]
     heads = np.zeros(count, _BLOCK_HEAD)
     heads["least"], heads["width"], heads["exceptions"] = least, width, long.sum(axis=1)
 
@@ -68,10 +99,10 @@ def pack_ids(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE
     for w in np.unique(width):
         of = np.flatnonzero(width == w)
         if w:
-            planes = (rest[of][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
-            body = np.packbits(planes.reshape(len(of), -1), axis=1, bitorder="little")
-            for i, row in zip(of.tolist(), body, strict=True):
-                packed[i] = row.tobytes()
+            low = np.uint32((1 << int(w)) - 1)
+            body, size = _pack(rest[of] & low, int(w)).tobytes(), int(w) * block // 8
+            for k, i in enumerate(of.tolist()):
+                packed[i] = body[k * size : (k + 1) * size]
     block_of, position = np.nonzero(long)
     values = rest[block_of, position].astype("<u4")
     cuts = np.searchsorted(block_of, np.arange(count + 1)).tolist()
@@ -100,14 +131,12 @@ def unpack_ids(segment: bytes, first: int = 0, last: int | None = None) -> np.nd
     raw = np.frombuffer(segment, np.uint8, offset=_HEAD.size + 4 * count)
     heads = raw[starts[:, None] + np.arange(8)].reshape(-1).view(_BLOCK_HEAD)
     rows = np.zeros((last - first, block), np.uint32)
-    size = (heads["width"].astype(np.int64) * block + 7) // 8
+    size = heads["width"].astype(np.int64) * block // 8
     for w in np.unique(heads["width"]):
         of = np.flatnonzero(heads["width"] == w)
         if w:
-            body = raw[starts[of][:, None] + 8 + np.arange((int(w) * block + 7) // 8)]
-            planes = np.unpackbits(body, axis=1, count=int(w) * block, bitorder="little")
-            planes = planes.reshape(len(of), block, int(w)).astype(np.uint32)
-            rows[of] = (planes << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+            body = raw[starts[of][:, None] + 8 + np.arange(int(w) * block // 8)]
+            rows[of] = _unpack(body, int(w), block)
     # Patch the exceptions: entry k of block i, for all blocks at once.
     number = heads["exceptions"].astype(np.int64)
     block_of = np.repeat(np.arange(last - first), number)
