@@ -40,11 +40,11 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
     return register
 
 
-def rounded(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def rounded(df: DataFrame, keep: tuple[str, ...] = (), large: float = LARGE) -> DataFrame:
     """Computed doubles to four places, large ones to one: sums differ in the last of their fifteen
     digits with the order of rows, on values from a million on in the places behind the fourth."""
     def shown(c: str) -> Column:
-        return F.when(F.abs(c) >= LARGE, F.round(c, 1)).otherwise(F.round(c, 4)).alias(c)
+        return F.when(F.abs(c) >= large, F.round(c, 1)).otherwise(F.round(c, 4)).alias(c)
 
     return df.select(
         [shown(c) if kind == "double" and c not in keep else F.col(c) for c, kind in df.dtypes]
@@ -339,7 +339,7 @@ FROM curated WHERE record_id = 'click' ORDER BY window_start_sec LIMIT 3""",
 )
 def _(spark, sf_dir):
     ml = windows.window_features_ml(curated(spark, sf_dir, BY_TYPE))
-    return rounded(tables.preview(ml, views.RUN_ID, "click", 3))
+    return rounded(tables.preview(ml, views.RUN_ID, "click", 3), large=float("inf"))
 
 
 # --- records -------------------------------------------------------------------------------
@@ -419,7 +419,7 @@ def _(spark, sf_dir):
     " round(stddev_samp(rr_interval_sec) * 1000, 4) AS sdnn_ms FROM rr GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    return rounded(signal.processing_metrics(views.intervals(spark, sf_dir, "user_id")))
+    return rounded(signal.processing_metrics(views.intervals(spark, sf_dir, "user_id")), large=float("inf"))
 
 
 LISTED_SQL = (
@@ -446,7 +446,7 @@ SELECT run_id, record_id, CAST(coalesce(n, 0) AS INT) AS n_beats, round(mean_rr_
 )
 def _(spark, sf_dir):
     rr = views.intervals(spark, sf_dir, "user_id")
-    return rounded(signal.processing_metrics(rr, listed(spark, sf_dir)))
+    return rounded(signal.processing_metrics(rr, listed(spark, sf_dir)), large=float("inf"))
 
 
 @query(
@@ -554,7 +554,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = wf.ingest_waveforms(views.waveforms(spark, sf_dir), views.RUN_ID, views.RUN_DATE)
     rates, _ = signal.infer_sampling_rate(rows)
-    return rounded(rates.select("record_id", "fs"))
+    return rounded(rates.select("record_id", "fs"), large=float("inf"))
 
 
 @query(
@@ -625,7 +625,7 @@ def _(spark, sf_dir):
     cleaned = signal.clean_signal(
         rows, views.unit_rates(rows), widths=SAMPLE_WIDTHS, segment_samples=1000
     )
-    return rounded(cleaned.drop("run_id", "run_date"))
+    return rounded(cleaned.drop("run_id", "run_date"), large=float("inf"))
 
 
 @query("peak_detect", PEAKS_SQL + " SELECT record_id, peak_index, t_peak_sec FROM peaks")
