@@ -99,37 +99,43 @@ def _found(text: Column, p: Pattern) -> Column:
     )
 
 
-def scan_texts(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def scan_texts(
+    docs: DataFrame, keep: Sequence[str] = ("doc_id",), patterns: Sequence[Pattern] = PATTERNS
+) -> DataFrame:
     """`keep`, the text's SHA-256 and one array of matches per pattern; a written, narrow table."""
     t = fresh(docs, "_t")
     texts = docs.select(*keep, text_or_empty().alias(t))
-    found = [_found(F.col(t), p).alias(p.name) for p in PATTERNS]
+    found = [_found(F.col(t), p).alias(p.name) for p in patterns]
     return written(texts.select(*keep, F.sha2(t, 256).alias("_sha"), *found), "secret-scan")
 
 
-def _any_match() -> Column:
-    sizes = [F.size(p.name) for p in PATTERNS]
+def _any_match(patterns: Sequence[Pattern] = PATTERNS) -> Column:
+    sizes = [F.size(p.name) for p in patterns]
     return sum(sizes[1:], sizes[0]) > 0
 
 
-def linked_spans(scanned: DataFrame, reach: int = REACH) -> DataFrame:
-    """(_sha, kind, start, end) of every base span and every linked weak span, per distinct text."""
+def _ends(scanned: DataFrame, patterns: Sequence[Pattern] = PATTERNS) -> DataFrame:
+    """(_sha, pattern, gap, len, value, mixed, end) of every match, per distinct text."""
     texts = (
-        scanned.filter(_any_match())
+        scanned.filter(_any_match(patterns))
         .groupBy("_sha")
-        .agg(*[F.first(p.name).alias(p.name) for p in PATTERNS])
+        .agg(*[F.first(p.name).alias(p.name) for p in patterns])
     )
     matches = texts.select(
         "_sha",
         F.inline(F.array(*[
-            F.struct(F.lit(p.name).alias("pattern"), F.col(p.name).alias("found")) for p in PATTERNS
+            F.struct(F.lit(p.name).alias("pattern"), F.col(p.name).alias("found")) for p in patterns
         ])),
     ).select("_sha", "pattern", F.posexplode("found").alias("_at", "_m"))
     along = Window.partitionBy("_sha", "pattern").orderBy("_at")
-    ends = matches.select(
+    return matches.select(
         "_sha", "pattern", "_m.*",
         F.sum(F.col("_m.gap") + F.col("_m.len")).over(along).alias("end"),
     )
+
+
+def linked_spans(scanned: DataFrame, reach: int = REACH) -> DataFrame:
+    """(_sha, kind, start, end) of every base span and every linked weak span, per distinct text."""
     base_value = F.col("value") >= ASSIGN_LEAST
     kind = (
         F.when(F.col("pattern") != "assign", F.col("pattern"))
@@ -137,7 +143,7 @@ def linked_spans(scanned: DataFrame, reach: int = REACH) -> DataFrame:
         .when(F.col("value") >= SHORT_LEAST, "short")
     )
     parts = (
-        ends.select("_sha", kind.alias("kind"), (F.col("end") - F.col("len")).alias("start"), "end", "mixed")
+        _ends(scanned).select("_sha", kind.alias("kind"), (F.col("end") - F.col("len")).alias("start"), "end", "mixed")
         .filter("kind IS NOT NULL AND (kind != 'run' OR mixed)")
     )
     # Interval join: the parts whose start lies within `reach` of this one's.
@@ -199,34 +205,53 @@ def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
 
 MASK = "[SECRET]"
+# An assignment long enough by itself, also where a shorter match of ASSIGN takes its head.
+LONG_ASSIGN = Pattern("long", f"{ASSIGN_HEAD}({ASSIGN_VALUE}{{{ASSIGN_LEAST},}})", (":", "="), value=2)
+
+
+def _cuts(scanned: DataFrame, reach: int) -> DataFrame:
+    """(_sha, _cuts): the stretches to mask of each distinct text, in order and without overlaps.
+
+    Of base assignments only the value is masked, of other secrets the whole match.
+    """
+    linked = linked_spans(scanned, reach).filter("kind NOT IN ('assign', 'endpoint')")
+    value = _ends(scanned, [PATTERNS[0], LONG_ASSIGN]).filter(F.col("value") >= ASSIGN_LEAST)
+    spans = linked.select("_sha", "start", "end").unionByName(
+        value.select("_sha", (F.col("end") - F.col("value")).alias("start"), "end")
+    )
+    along = Window.partitionBy("_sha").orderBy("start", "end")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True))
+    merged = (
+        spans.withColumn("_opens", opens.cast("int"))
+        .withColumn("_cut", F.sum("_opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("_sha", "_cut")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    )
+    return merged.groupBy("_sha").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
 
 
 def mask_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """All rows and columns of `docs`; the values of base and linked weak spans become MASK.
 
-    n_chars, where there is one, follows the new text. Base values are masked by the patterns
-    themselves; only texts with linked weak parts are joined with their spans, by SHA-256.
+    Overlapping spans are merged and each text is cut once, by positions, so nothing of a span is
+    left and nothing outside of spans changes. URLs stay, but for the secrets in them. n_chars, where
+    there is one, follows the new text. Texts are joined with their cuts by SHA-256.
     """
-    scanned = scan_texts(docs, keep=())
-    weak = linked_spans(scanned, reach).filter(F.col("kind").isin("ident", "short", "run"))
-    spans = written(
-        weak.groupBy("_sha").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_weak")),
-        "weak-spans",
-    )
-    sha, cut = fresh(docs, "_sha"), fresh(docs, "_weak")
-    spans = broadcast_if_small(spans.toDF(sha, cut), row_bytes=200)
+    scanned = scan_texts(docs, keep=(), patterns=(*PATTERNS, LONG_ASSIGN))
+    cuts = written(_cuts(scanned, reach), "secret-cuts")
+    sha, cut = fresh(docs, "_sha"), fresh(docs, "_cuts")
+    cuts = broadcast_if_small(cuts.toDF(sha, cut), row_bytes=200)
     own = F.col("text")
-    joined = docs.withColumn(sha, F.sha2(text_or_empty(), 256)).join(spans, sha, "left")
-    values = F.array_distinct(F.transform(cut, lambda s: F.substring(own, s["start"] + 1, s["end"] - s["start"])))
-    weakly = F.when(F.col(cut).isNull(), own).otherwise(
-        F.aggregate(values, own, lambda text, v: F.replace(text, v, F.lit(MASK)))
-    )
-    text = joined.withColumn("text", weakly)
-    long_assign = f"({ASSIGN_HEAD}){ASSIGN_VALUE}{{{ASSIGN_LEAST},}}"
-    masked = F.regexp_replace("text", long_assign, f"$1{MASK}")
-    for pattern in (ACCESS, HEX):
-        masked = F.regexp_replace(masked, pattern, MASK)
-    text = text.withColumn("text", masked)
+    joined = docs.withColumn(sha, F.sha2(text_or_empty(), 256)).join(cuts, sha, "left")
+
+    def before(c: Column, i: Column) -> Column:
+        last = F.coalesce(F.get(F.col(cut), i - 1)["end"], F.lit(0))
+        return F.substring(own, (last + 1).cast("int"), (c["start"] - last).cast("int"))
+
+    tail = F.substring(own, (F.element_at(cut, -1)["end"] + 1).cast("int"), F.length(own))
+    pieces = F.concat(F.transform(cut, before), F.array(tail))
+    text = joined.withColumn("text", F.when(F.col(cut).isNull(), own).otherwise(F.array_join(pieces, MASK)))
     if "n_chars" in docs.columns:
         text = text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return text.select(*[F.col(f"`{c}`") for c in docs.columns])

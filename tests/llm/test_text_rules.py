@@ -100,6 +100,30 @@ def test_mask_secrets(spark):
     assert secret_scan.secret_spans(empty(spark)).count() == 0
 
 
+CUT = [
+    (40, "user: bob api_key=AbCdEfGh1234567890xyzK.restofsecret end", "[SECRET] api_key=[SECRET] end"),
+    (41, "key_id=AbCdEf0123/GhIjKl4567890mnop end", "[SECRET] end"),
+    (42, "user: bob user: bobby2 password: hunter2", "[SECRET] [SECRET] [SECRET]"),
+    (43, "login: 日本 user: éa1 login: bob 🎉 password: hunter2" + " far" * 100 + " login: bob",
+     "login: 日本 user: éa1 [SECRET] 🎉 [SECRET]" + " far" * 100 + " login: bob"),
+    (44, "user: bob token=password: AbCdEfGh1234567890xyzK.rest", "[SECRET] [SECRET]: [SECRET]"),
+    (45, "secret:token: aaaaaaaaaaaapassword: bbbbbbbbbbbbbbbb", "secret:token: [SECRET]: [SECRET]"),
+    (46, "a 0123456789abcdef", "a [SECRET]"),
+]
+
+
+def test_masked_spans_leave_nothing(spark):
+    docs = edge_rows(spark, [(i, t) for i, t, _ in CUT])
+    got = {r.doc_id: r.text for r in secret_scan.mask_secrets(docs).collect()}
+    assert got == {i: want for i, _, want in CUT}
+    texts = {i: t for i, t, _ in CUT}
+    for r in secret_scan.secret_spans(docs).collect():
+        for kind, start, end in (s.split(":") for s in r.spans.split(",")):
+            if r.doc_id == 43:  # holds the same words again, out of reach
+                continue
+            assert kind == "endpoint" or texts[r.doc_id][int(start) : int(end)] not in got[r.doc_id]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
 <body><header><h1>Site</h1></header><nav><ul><li><a href=/a>Menu</a></ul></nav><div class="ad">Buy</div>
 <article><h1>Head&amp;line</h1><p><b>First
