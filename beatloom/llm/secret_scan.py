@@ -146,12 +146,20 @@ def linked_spans(scanned: DataFrame, reach: int = REACH) -> DataFrame:
         _ends(scanned).select("_sha", kind.alias("kind"), (F.col("end") - F.col("len")).alias("start"), "end", "mixed")
         .filter("kind IS NOT NULL AND (kind != 'run' OR mixed)")
     )
-    # Interval join: the parts whose start lies within `reach` of this one's.
-    scope = Window.partitionBy("_sha").orderBy("start").rangeBetween(-reach, reach)
-    has = lambda *kinds: F.max(F.col("kind").isin(*kinds)).over(scope)
-    seen = parts.withColumns(
-        {"_ident": has("ident", "access"), "_secret": has("assign", "hex", "short", "run")}
+    # Interval join: parts that start at most `reach` behind this one's end, and of these the furthest
+    # end, which must not lie more than `reach` before this one's start. Each part is two rows: its
+    # start, which brings its end along, and the last start it reaches, where it looks back.
+    far = lambda *kinds: F.when(F.col("kind").isin(*kinds), F.col("end"))
+    points = parts.withColumns(
+        {"_ident": far("ident", "access"), "_secret": far("assign", "hex", "short", "run")}
+    ).select(
+        "*",
+        F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(False).alias("looks")),
+                          F.struct((F.col("end") + reach).alias("at"), F.lit(True).alias("looks")))).alias("_p"),
     )
+    scope = Window.partitionBy("_sha").orderBy("_p.at").rangeBetween(Window.unboundedPreceding, 0)
+    within = lambda c: F.coalesce(F.max(c).over(scope) >= F.col("start") - reach, F.lit(False))
+    seen = points.withColumns({"_ident": within("_ident"), "_secret": within("_secret")}).filter("_p.looks")
     linked = (
         F.col("kind").isin(*BASE)
         | ((F.col("kind") == "ident") & F.col("_secret"))

@@ -100,6 +100,22 @@ def test_mask_secrets(spark):
     assert secret_scan.secret_spans(empty(spark)).count() == 0
 
 
+def test_reach_is_the_gap_between_parts(spark):
+    key = "aB3" * 70
+    far = lambda n: " " + "." * (n - 2) + " "
+    texts = [
+        f"{key} user: bob", f"user: bob {key}", f"{key}{far(160)}user: bob", f"{key}{far(161)}user: bob",
+        f"user: bob{far(160)}{key}", f"user: bob{far(161)}{key}", f"https://x.example/{'a.' * 100} user: bob passwd: abcd",
+        f"login={'a.' * 300}{far(160)}password: hunter2", f"user: bob https://x/{'a.' * 200}",
+    ]
+    got = {r.doc_id: r.spans for r in secret_scan.secret_spans(edge_rows(spark, list(enumerate(texts)))).collect()}
+    assert got == {
+        0: "run:0:210,ident:211:220", 1: "ident:0:9,run:10:220", 2: "run:0:210,ident:370:379", 3: "",
+        4: "ident:0:9,run:169:379", 5: "", 6: "endpoint:0:218,ident:219:228,short:229:241",
+        7: "ident:0:606,short:766:783", 8: "",
+    }
+
+
 CUT = [
     (40, "user: bob api_key=AbCdEfGh1234567890xyzK.restofsecret end", "[SECRET] api_key=[SECRET] end"),
     (41, "key_id=AbCdEf0123/GhIjKl4567890mnop end", "[SECRET] end"),
