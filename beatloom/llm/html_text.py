@@ -15,8 +15,10 @@ Within a line white space becomes one space; lines are joined by a newline.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,15 +31,14 @@ WINDOW = 3
 LEAST_SHARE = 0.1
 MOST_LINKED = 0.3
 
-_RAW = "script|style|noscript|template|svg|iframe|textarea|select|head|object|canvas|math|audio|video"
+_RAW = frozenset("script style textarea iframe title xmp noembed noframes".split())
+_HIDDEN = frozenset("noscript template svg select head object canvas math audio video".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)"
-    rf"|<(?:{_RAW})(?=[\s/>])[^>]*>.*?(?:</(?:{_RAW})\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)"
     r"""|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
     r"|</?[a-z][^>]*+>|<[!?][^>]*>",
     re.I | re.S,
 )
-_RAW_OPEN = re.compile(rf"<({_RAW})(?=[\s/>])", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _FURNITURE = frozenset("nav header footer aside form menu dialog button fieldset datalist".split())
 _BLOCKS = frozenset(
@@ -45,6 +46,30 @@ _BLOCKS = frozenset(
     " pre summary table tbody td tfoot th thead tr ul".split()
 )
 _LAYOUT = frozenset("article body div main section html".split())
+# Fixed values of the HTML standard: which elements end others without an end tag.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+_ENDS_P = (_BLOCKS | _LAYOUT | _FURNITURE | {"dir", "hgroup", "search"}) - frozenset(
+    "body html button datalist caption tbody td tfoot th thead tr".split()
+)
+_SPECIAL = _BLOCKS | _LAYOUT | _FURNITURE | _HIDDEN
+_CELLS = frozenset("table td th caption".split())
+_P_SCOPE = _CELLS | frozenset("button object template svg math".split())
+_ITEM_SCOPE = _SPECIAL - {"address", "div", "p"}
+_TABLE = frozenset({"table", "template"})
+_ROW = frozenset("td th tr caption".split())
+_GROUP = _ROW | {"tbody", "thead", "tfoot"}
+_ENDS = {
+    **dict.fromkeys(_ENDS_P, (frozenset({"p"}), _P_SCOPE)),
+    **dict.fromkeys(("td", "th"), (frozenset({"td", "th", "caption"}), _TABLE)),
+    "tr": (_ROW, _TABLE),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (_GROUP, _TABLE)),
+    "li": (frozenset({"li"}), _ITEM_SCOPE - {"li"}),
+    **dict.fromkeys(("dt", "dd"), (frozenset({"dt", "dd"}), _ITEM_SCOPE - {"dt", "dd"})),
+}
+_METADATA = frozenset("base link meta title style script noscript template head html".split())
+_DRAWN = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+_BREAKS_OUT = _BLOCKS | _LAYOUT | _FURNITURE | frozenset("b big br code em embed i img s small span strong sub sup u".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu dialog alert".split())
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|menu|nav|navbar|navigation|breadcrumbs?|sidebar"
@@ -71,10 +96,13 @@ def _is_furniture(name: str, attrs: str) -> bool:
     return False
 
 
-def _raw_end(html: str, start: int, name: str) -> int:
-    """Where a raw element ends: after its own end tag, else at the end of the page."""
-    end = re.compile(rf"</{name}\s*>", re.I).search(html, start)
-    return end.end() if end else len(html)
+def _raw_end(html: str, start: int, name: str, single: bool) -> int:
+    """Where a raw element ends: after its own end tag, else at the end of the page.
+
+    Without any end tag behind it, one written as an empty element is empty.
+    """
+    end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, start)
+    return end.end() if end else start if single else len(html)
 
 
 class _Lines:
@@ -106,49 +134,156 @@ class _Lines:
         self.inside.append(inside)
 
 
+class _Open(NamedTuple):
+    name: str
+    hidden: bool
+
+
+class _Tree:
+    """The open elements of a page, closed as the HTML standard says where an end tag is left out."""
+
+    def __init__(self, lines: _Lines, window: int) -> None:
+        self.lines, self.window = lines, window
+        self.stack: list[_Open] = []
+        self.count: Counter[str] = Counter()
+        self.hidden = 0
+
+    @property
+    def inside(self) -> bool:
+        return self.count["article"] + self.count["main"] > 0
+
+    def end_line(self, name: str) -> None:
+        if not self.hidden:
+            self.lines.end(self.inside, self.window if name in _LAYOUT else 0)
+
+    def open(self, name: str, furniture: bool) -> None:
+        self.stack.append(_Open(name, furniture or name in _HIDDEN))
+        self.count[name] += 1
+        self.hidden += self.stack[-1].hidden
+
+    def close_from(self, at: int) -> None:
+        while len(self.stack) > at:
+            self._closed(self.stack.pop())
+
+    def _closed(self, e: _Open) -> None:
+        if e.name in _BLOCKS or e.name in _LAYOUT:
+            self.end_line(e.name)
+        self.count[e.name] -= 1
+        self.hidden -= e.hidden
+
+    def find(self, names: Collection[str], barrier: Collection[str]) -> int:
+        """The innermost open element of these names that no barrier hides, else -1."""
+        if any(self.count[n] for n in names):
+            for i in range(len(self.stack) - 1, -1, -1):
+                if self.stack[i].name in names:
+                    return i
+                if self.stack[i].name in barrier:
+                    break
+        return -1
+
+    def text(self) -> None:
+        """Text that is not only white space ends a head."""
+        if self.stack and self.stack[-1].name == "head":
+            self.close_from(len(self.stack) - 1)
+
+    def foreign(self) -> bool:
+        """Whether the innermost text is part of a drawing or formula."""
+        at = self.find(("svg", "math"), _DRAWN) if self.count["svg"] or self.count["math"] else -1
+        return at >= 0
+
+    def before(self, name: str) -> None:
+        """Ends what the start tag of `name` ends."""
+        if self.count["head"] and name not in _METADATA:
+            self.text()
+        if name in _BREAKS_OUT and self.foreign():
+            self.close_from(self.find(("svg", "math"), ()))
+        names, barrier = _ENDS.get(name, ((), ()))
+        while names and (at := self.find(names, barrier)) >= 0:
+            self.close_from(at)
+        if name in ("li", "dt", "dd") and (at := self.find(("p",), _P_SCOPE)) >= 0:
+            self.close_from(at)
+        if name in _HEADINGS and self.stack and self.stack[-1].name in _HEADINGS:
+            self.close_from(len(self.stack) - 1)
+        if name == "a" and (at := self.find(("a",), _CELLS)) >= 0:
+            self._without(at)
+
+    def _without(self, at: int) -> None:
+        """Closes a formatting element but not the blocks opened in it."""
+        if any(e.name in _SPECIAL for e in self.stack[at + 1 :]):
+            self._closed(self.stack.pop(at))
+        else:
+            self.close_from(at)
+
+    def end(self, name: str) -> None:
+        """Ends what the end tag of `name` ends."""
+        if name in ("body", "html"):
+            if self.count["head"]:
+                self.text()
+            return
+        names: Collection[str] = _HEADINGS if name in _HEADINGS else (name,)
+        if name in _CELLS or name in _GROUP:
+            barrier: Collection[str] = _TABLE - {name}
+        elif name == "p":
+            barrier = _P_SCOPE
+        elif name in ("li", "dt", "dd"):
+            barrier = _CELLS | {"ol", "ul", "dl"}
+        elif name in _SPECIAL or name in _FORMATTING:
+            barrier = _CELLS
+        else:
+            barrier = _SPECIAL
+        at = self.find(names, barrier)
+        if at >= 0 and name in _FORMATTING:
+            self._without(at)
+        elif at >= 0:
+            self.close_from(at)
+
+
 def page_lines(html: str, window: int = WINDOW) -> _Lines:
-    lines, at = _Lines(), 0
-    skip, depth = "", 0  # the furniture element we are in, and how deep in elements of its name
-    article, link = 0, False
+    lines, at, link = _Lines(), 0, False
+    tree = _Tree(lines, window)
     while True:
         token = _TOKEN.search(html, at)
         stop = token.start() if token else len(html)
-        if not skip and stop > at:
-            lines.add(html[at:stop], link)
+        if stop > at:
+            if tree.count["head"] and not html[at:stop].isspace():
+                tree.text()
+            if not tree.hidden:
+                lines.add(html[at:stop], link)
         if token is None:
             break
         at = token.end()
-        raw = _RAW_OPEN.match(html, stop)
-        if raw:
-            at = _raw_end(html, raw.end(), raw[1])
-            continue
         name = (token["name"] or "").lower()
         if not name:
             continue
         closing = bool(token["close"])
         single = name in _VOID or token["attrs"].endswith("/")
-        if skip:
-            if name == skip and not single:
-                depth += -1 if closing else 1
-                if not depth:
-                    skip = ""
+        if closing:
+            tree.end_line(name) if name in _BLOCKS or name in _LAYOUT else None
+            tree.end(name)
+            link = link and name != "a"
             continue
-        if not closing and _is_furniture(name, token["attrs"]):
-            lines.end(article > 0, window)
-            if not single:
-                skip, depth = name, 1
+        foreign = tree.foreign()
+        if name in _RAW and not (foreign and single):
+            if tree.count["head"] and name not in _METADATA:
+                tree.text()
+            at = _raw_end(html, at, name, single)
             continue
-        if name == "br" or name not in _LAYOUT | _BLOCKS | {"a"}:
+        tree.before(name)
+        if not tree.hidden:
+            if _is_furniture(name, token["attrs"]):
+                lines.end(tree.inside, window)
+                if not single:
+                    tree.open(name, True)
+                continue
             if name == "br":
                 lines.add(" ", False)
-            continue
-        if name == "a":
-            link = not closing
-            continue
-        lines.end(article > 0, window if name in _LAYOUT else 0)
-        if name in ("article", "main"):
-            article = max(0, article + (-1 if closing else 1))
-    lines.end(article > 0)
+            elif name == "a":
+                link = True
+            elif name in _BLOCKS or name in _LAYOUT:
+                tree.end_line(name)
+        if not single and name not in ("html", "body"):
+            tree.open(name, False)
+    lines.end(tree.inside)
     return lines
 
 
@@ -197,7 +332,8 @@ def extract_pages(pages: DataFrame, window: int = WINDOW) -> DataFrame:
     """page_id, url, text and n_chars (code points) for every row.
 
     NULL and empty html give an empty text; repeated rows are extracted each; other columns are
-    ignored; an empty table gives no rows. Elements left open reach to the end of the page.
+    ignored; an empty table gives no rows. Elements left open end where the HTML standard ends them, at the
+    latest with the element around them; scripts and the like, which it never ends, with the page.
     """
     schema = "page_id long, url string, text string, n_chars long"
 

@@ -156,6 +156,24 @@ def test_main_text():
     ]
 
 
+def test_elements_without_end_tags():
+    for page, want in {
+        '<article><p>A<svg width="1"/><math/><p>B</article>': "A\nB",
+        '<article><p>A<svg><path d=""/><p>B</article>': "A\nB",
+        "<html><head><title>T</title><meta a=b><body><p>A": "A",
+        "<head><title>T</title><link rel=x><p>A<p>B": "A\nB", "<head><title>T</title>A": "A",
+        '<article><p class="notice">x<p>One<p>Two</article>': "One\nTwo",
+        '<article><ul><li class="share">x<li>One<li>Two</ul><p>Three</article>': "One\nTwo\nThree",
+        '<article><dl><dt class="share">x<dd>One</dl><table><tr><td class="share">x<td>Two<tr><td>Three</table></article>':
+            "One\nTwo\nThree",
+        '<article><div><p class="notice">x</div><p>One</article>': "One",
+        '<article><section><div class="share">x</section><p>One<object><p>y</article>': "One",
+        '<article><p>A <b>b<p>c</b> d</p><script src="x"/><p>e</article>': "A b\nc d\ne",
+        '<article><ul><li class="share"><ul><li>x</ul>y<li>One</ul></article>': "One",
+    }.items():
+        assert html_text.main_text(page) == want, page
+
+
 def test_stretches():
     assert html_text.stretches([0, 0, 5, 6, 0, 0, 0, 0, 7, 0, 8, 0, 0]) == [(2, 4), (8, 11)]
     assert html_text.stretches([]) == [] and html_text.stretches([0, 0]) == []
