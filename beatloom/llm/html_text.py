@@ -1,8 +1,8 @@
 """Main text of web pages by line-block distribution.
 
 1. Strip markup: comments, scripts, styles and other raw elements go; containers that are page
-   furniture by element, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms,
-   reader comments) go with all they hold. Each block element ends a line; each edge of a layout
+   furniture by element, role, whole class name or id (menus, headers, footers, sidebars, notices, adverts,
+   forms, reader comments) go with all they hold, unless that is the article or most of the text. Each block element ends a line; each edge of a layout
    container leaves a gap of empty lines as wide as the window.
 2. Sum the text lengths over a sliding window of lines. Where the sum rises from zero is a surge point,
    where it falls back to zero a dive point; the lines between are one stretch of text.
@@ -71,29 +71,40 @@ _METADATA = frozenset("base link meta title style script noscript template head
 _DRAWN = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 _BREAKS_OUT = _BLOCKS | _LAYOUT | _FURNITURE | frozenset("b big br code em embed i img s small span strong sub sup u".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu dialog alert".split())
-_MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|menu|nav|navbar|navigation|breadcrumbs?|sidebar"
-    r"|side-?bar|header|footer|masthead|cookies?|consent|notice|notification|alert|popup|modal|newsletter"
-    r"|subscri\w+|signup|login|share|sharing|social|related|recommend\w*|comments?|disqus|respon[ds]\w*"
-    r"|widget|pagination|pager|toolbar|skip-?link)(?:$|[\s_-])",
-    re.I,
+# Whole class names and ids: a word for furniture, alone or among words that only say where it is or what of it.
+_COMMENTS = r"comments?|disqus|respond|responses?"
+_WORD = (
+    rf"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|menu|nav|navbar|navigation|breadcrumbs?|side-?bar|header|footer"
+    rf"|masthead|cookies?|consent|notice|notification|alert|popup|modal|newsletter|subscri\w+|signup|login|share|sharing"
+    rf"|social|related|recommend\w*|{_COMMENTS}|widget|pagination|pager|toolbar|skip-?link)"
 )
+_BESIDE = (
+    r"(?:site|page|web|main|global|top|bottom|left|right|upper|lower|inner|outer|primary|secondary|mobile|desktop"
+    r"|sticky|floating|gdpr|privacy|user|reader|sub|mini|off|site-?wide|bar|bars|box|boxes|area|section|block|panel|unit"
+    r"|slot|zone|container|wrapper|wrap|inner|outer|list|items?|links?|buttons?|icons?|form|field|thread|posts?|articles?"
+    r"|stories|media|content|text|title|body|message|overlay|dialog|js|tools?|\d+)"
+)
+_MARKED = re.compile(rf"(?:{_BESIDE}[_-]+)*{_WORD}(?:[_-]+(?:{_WORD}|{_BESIDE}))*", re.I)
+_COMMENTED = re.compile(rf"(?:^|[_-])(?:{_COMMENTS})(?:$|[_-])", re.I)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
-def _is_furniture(name: str, attrs: str) -> bool:
+def _is_furniture(name: str, attrs: str, nested: bool = False) -> str:
+    """What marks an element as furniture, else an empty string; `nested` is said of an article in another."""
     if name in _FURNITURE:
-        return True
-    if not attrs or name in ("html", "body", "article", "main"):
-        return False
+        return name
+    if not attrs or name in ("html", "body", "main") or (name == "article" and not nested):
+        return ""
     for key, a, b, c in _ATTR.findall(attrs):
-        value = a or b or c
+        value = (a or b or c).strip()
         if key.lower() == "role":
-            if value.strip().lower() in _ROLES:
-                return True
-        elif _MARKED.search(value):
-            return True
-    return False
+            if value.lower() in _ROLES:
+                return value
+        else:
+            for whole in value.split():
+                if _MARKED.fullmatch(whole):
+                    return whole
+    return ""
 
 
 def _raw_end(html: str, start: int, name: str, single: bool) -> int:
@@ -105,13 +116,25 @@ def _raw_end(html: str, start: int, name: str, single: bool) -> int:
     return end.end() if end else start if single else len(html)
 
 
+class _Box(NamedTuple):
+    """A furniture element: the one around it (0 is the page), whether it lies in an article or main, and
+    whether it holds reader comments."""
+
+    around: int
+    within: bool
+    comments: bool
+
+
 class _Lines:
-    """Text lines of a page with the share of link text and whether the article holds them."""
+    """Text lines of a page with the share of link text, whether the article holds them, and their box."""
 
     def __init__(self) -> None:
         self.text: list[str] = []
         self.linked: list[int] = []
         self.inside: list[bool] = []
+        self.box: list[int] = []
+        self.boxes = [_Box(0, False, False)]
+        self.holders: set[int] = set()  # boxes an article or main begins in
         self._open: list[str] = []
         self._links = 0
 
@@ -120,23 +143,63 @@ class _Lines:
         if in_link:
             self._links += len(text)
 
-    def end(self, inside: bool, gap: int = 0) -> None:
+    def end(self, inside: bool, gap: int = 0, box: int = 0) -> None:
         line = " ".join(unescape("".join(self._open)).split()) if self._open else ""
         if line:
-            self._put(line, self._links, inside)
+            self._put(line, self._links, inside, box)
         self._open, self._links = [], 0
         for _ in range(gap):
-            self._put("", 0, inside)
+            self._put("", 0, inside, box)
 
-    def _put(self, line: str, links: int, inside: bool) -> None:
+    def _put(self, line: str, links: int, inside: bool, box: int) -> None:
         self.text.append(line)
         self.linked.append(links)
         self.inside.append(inside)
+        self.box.append(box)
+
+    def drop_furniture(self) -> None:
+        """Lines in boxes go, unless a box is only around the article or around most of the text.
+
+        If no article has text outside of boxes, the outermost boxes around articles are none. A box with
+        over half of the page's text outside links is none either; beside an article with text of its own
+        only if it lies within it, and reader comments only if there is no article at all.
+        """
+        if len(self.boxes) == 1:
+            return
+        own = [0] * len(self.boxes)
+        for text, links, box in zip(self.text, self.linked, self.box, strict=True):
+            own[box] += max(0, len(text) - links)
+        held = own[:]
+        for i in range(len(held) - 1, 0, -1):
+            held[self.boxes[i].around] += held[i]
+        article = any(i and t for i, t in zip(self.inside, self.text, strict=True))
+        free = any(i and t and not b for i, t, b in zip(self.inside, self.text, self.box, strict=True))
+        boxed = [False] + [
+            2 * held[i] <= held[0] or (article and self.boxes[i].comments) or (free and not self.boxes[i].within)
+            for i in range(1, len(held))
+        ]
+        while True:
+            outermost = [0] * len(held)
+            for i in range(1, len(held)):
+                outermost[i] = outermost[self.boxes[i].around] or (i if boxed[i] else 0)
+            free = any(
+                i and t and not outermost[b] for i, t, b in zip(self.inside, self.text, self.box, strict=True)
+            )
+            around = {outermost[i] for i in self.holders} - {0}
+            if free or not article or not around:
+                break
+            for i in around:
+                boxed[i] = False
+        kept = [i for i, b in enumerate(self.box) if not outermost[b]]
+        for name in ("text", "linked", "inside", "box"):
+            setattr(self, name, [getattr(self, name)[i] for i in kept])
 
 
 class _Open(NamedTuple):
     name: str
     hidden: bool
+    box: int
+    own: bool  # whether it is the box itself
 
 
 class _Tree:
@@ -152,22 +215,33 @@ class _Tree:
     def inside(self) -> bool:
         return self.count["article"] + self.count["main"] > 0
 
-    def end_line(self, name: str) -> None:
-        if not self.hidden:
-            self.lines.end(self.inside, self.window if name in _LAYOUT else 0)
+    @property
+    def box(self) -> int:
+        return self.stack[-1].box if self.stack else 0
 
-    def open(self, name: str, furniture: bool) -> None:
-        self.stack.append(_Open(name, furniture or name in _HIDDEN))
+    def end_line(self, gap: bool) -> None:
+        if not self.hidden:
+            self.lines.end(self.inside, self.window if gap else 0, self.box)
+
+    def open(self, name: str, mark: str = "") -> None:
+        box = self.box
+        if mark:
+            self.lines.boxes.append(_Box(box, self.inside, bool(_COMMENTED.search(mark))))
+            box = len(self.lines.boxes) - 1
+        elif name == "main" or (name == "article" and not self.count["article"]):
+            self.lines.holders.add(box)
+        self.stack.append(_Open(name, name in _HIDDEN, box, bool(mark)))
         self.count[name] += 1
         self.hidden += self.stack[-1].hidden
 
     def close_from(self, at: int) -> None:
         while len(self.stack) > at:
-            self._closed(self.stack.pop())
+            self._before_close(self.stack[-1])
+            self.stack.pop()
 
-    def _closed(self, e: _Open) -> None:
-        if e.name in _BLOCKS or e.name in _LAYOUT:
-            self.end_line(e.name)
+    def _before_close(self, e: _Open) -> None:
+        if e.own or e.name in _BLOCKS or e.name in _LAYOUT:
+            self.end_line(e.own or e.name in _LAYOUT)
         self.count[e.name] -= 1
         self.hidden -= e.hidden
 
@@ -210,7 +284,12 @@ class _Tree:
     def _without(self, at: int) -> None:
         """Closes a formatting element but not the blocks opened in it."""
         if any(e.name in _SPECIAL for e in self.stack[at + 1 :]):
-            self._closed(self.stack.pop(at))
+            gone = self.stack[at]
+            self._before_close(gone)
+            around = self.lines.boxes[gone.box].around if gone.own else gone.box
+            self.stack[at:] = [
+                e._replace(box=around) if e.box == gone.box else e for e in self.stack[at + 1 :]
+            ]
         else:
             self.close_from(at)
 
@@ -258,7 +337,8 @@ def page_lines(html: str, window: int = WINDOW) -> _Lines:
         closing = bool(token["close"])
         single = name in _VOID or token["attrs"].endswith("/")
         if closing:
-            tree.end_line(name) if name in _BLOCKS or name in _LAYOUT else None
+            if name in _BLOCKS or name in _LAYOUT:
+                tree.end_line(name in _LAYOUT)
             tree.end(name)
             link = link and name != "a"
             continue
@@ -270,20 +350,22 @@ def page_lines(html: str, window: int = WINDOW) -> _Lines:
             continue
         tree.before(name)
         if not tree.hidden:
-            if _is_furniture(name, token["attrs"]):
-                lines.end(tree.inside, window)
+            mark = _is_furniture(name, token["attrs"], tree.count["article"] > 0)
+            if mark:
+                tree.end_line(True)
                 if not single:
-                    tree.open(name, True)
+                    tree.open(name, mark)
                 continue
             if name == "br":
                 lines.add(" ", False)
             elif name == "a":
                 link = True
             elif name in _BLOCKS or name in _LAYOUT:
-                tree.end_line(name)
+                tree.end_line(name in _LAYOUT)
         if not single and name not in ("html", "body"):
-            tree.open(name, False)
-    lines.end(tree.inside)
+            tree.open(name)
+    tree.end_line(False)
+    lines.drop_furniture()
     return lines
 
 

@@ -174,6 +174,23 @@ def test_elements_without_end_tags():
         assert html_text.main_text(page) == want, page
 
 
+def test_furniture_around_the_article():
+    for around in ("layout has-sidebar", "no-sidebar", "with-menu", "header-fixed", "main sidebar", "responsive"):
+        for page in ("<article><p>One<p>Two</article>", "<main><p>One<p>Two</main>", "<p>One<p>Two"):
+            assert html_text.main_text(f'<div class="{around}">{page}</div><nav>x</nav>') == "One\nTwo", around
+    for page, want in {
+        "<form><nav>x</nav><article><p>One</article><aside><article>t</article></aside></form>": "One",
+        "<form><div class=menu>x</div><div><p>One two three</div></form>": "One two three",
+        "<main><form><p>One two</form></main>": "One two",
+        "<article><p>One</article><aside class=related><article><p>a teaser</article></aside>": "One",
+        '<article><p>One<article class="comment"><p>nice, and longer than the text</article><p>Two</article>': "One\nTwo",
+        "<article><p>One<section class=comments><article><p>longer than the text</article></section></article>": "One",
+        '<article><p>One two three<div class="site-footer">x</div><div id="cookie-notice">y</div></article>': "One two three",
+        '<article><p>One <span class="has-login">two</span></article>': "One two",
+    }.items():
+        assert html_text.main_text(page) == want, page
+
+
 def test_stretches():
     assert html_text.stretches([0, 0, 5, 6, 0, 0, 0, 0, 7, 0, 8, 0, 0]) == [(2, 4), (8, 11)]
     assert html_text.stretches([]) == [] and html_text.stretches([0, 0]) == []
