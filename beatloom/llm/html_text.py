@@ -6,8 +6,8 @@
    container leaves a gap of empty lines as wide as the window.
 2. Sum the text lengths over a sliding window of lines. Where the sum rises from zero is a surge point,
    where it falls back to zero a dive point; the lines between are one stretch of text.
-3. Keep the stretches of the article: those inside <article> or <main> if the page has one, else the
-   one with the most text outside links and the others that are prose like it.
+3. Keep the stretches of the article: those inside <article> or <main> if the page has one, else all but
+   lists of links, each judged by itself.
 
 Within a line white space becomes one space; lines are joined by a newline.
 """
@@ -28,8 +28,9 @@ from beatloom.llm.arrow import slices
 from beatloom.llm.shared import text_or_empty
 
 WINDOW = 3
-LEAST_SHARE = 0.1
 MOST_LINKED = 0.3
+FEW_WORDS = 3
+LONG_LINE = 8
 
 _RAW = frozenset("script style textarea iframe title xmp noembed noframes".split())
 _HIDDEN = frozenset("noscript template svg select head object canvas math audio video".split())
@@ -86,6 +87,8 @@ _BESIDE = (
 )
 _MARKED = re.compile(rf"(?:{_BESIDE}[_-]+)*{_WORD}(?:[_-]+(?:{_WORD}|{_BESIDE}))*", re.I)
 _COMMENTED = re.compile(rf"(?:^|[_-])(?:{_COMMENTS})(?:$|[_-])", re.I)
+_WORDS = re.compile(r"\w+")
+_SENTENCE_END = re.compile(r"""[.!?…。！？:;]["'”’»)\]]*$""")
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -116,6 +119,10 @@ def _raw_end(html: str, start: int, name: str, single: bool) -> int:
     return end.end() if end else start if single else len(html)
 
 
+def _plain(parts: list[str]) -> str:
+    return " ".join(unescape("".join(parts)).split()) if parts else ""
+
+
 class _Box(NamedTuple):
     """A furniture element: the one around it (0 is the page), whether it lies in an article or main, and
     whether it holds reader comments."""
@@ -126,34 +133,40 @@ class _Box(NamedTuple):
 
 
 class _Lines:
-    """Text lines of a page with the share of link text, whether the article holds them, and their box."""
+    """Text lines of a page with the share of link text, the number of words outside links, whether they
+    are headings, whether the article holds them, and their box."""
 
     def __init__(self) -> None:
         self.text: list[str] = []
         self.linked: list[int] = []
+        self.words: list[int] = []
+        self.heading: list[bool] = []
         self.inside: list[bool] = []
         self.box: list[int] = []
         self.boxes = [_Box(0, False, False)]
         self.holders: set[int] = set()  # boxes an article or main begins in
         self._open: list[str] = []
-        self._links = 0
+        self._outside: list[str] = []
 
     def add(self, text: str, in_link: bool) -> None:
         self._open.append(text)
-        if in_link:
-            self._links += len(text)
+        self._outside.append(" " if in_link else text)
 
-    def end(self, inside: bool, gap: int = 0, box: int = 0) -> None:
-        line = " ".join(unescape("".join(self._open)).split()) if self._open else ""
+    def end(self, inside: bool, gap: int = 0, box: int = 0, heading: bool = False) -> None:
+        line = _plain(self._open)
         if line:
-            self._put(line, self._links, inside, box)
-        self._open, self._links = [], 0
+            own = _plain(self._outside)
+            links = len(line) - len(own) if " " in self._outside else 0
+            self._put(line, links, len(_WORDS.findall(own)), heading, inside, box)
+        self._open, self._outside = [], []
         for _ in range(gap):
-            self._put("", 0, inside, box)
+            self._put("", 0, 0, False, inside, box)
 
-    def _put(self, line: str, links: int, inside: bool, box: int) -> None:
+    def _put(self, line: str, links: int, words: int, heading: bool, inside: bool, box: int) -> None:
         self.text.append(line)
         self.linked.append(links)
+        self.words.append(words)
+        self.heading.append(heading)
         self.inside.append(inside)
         self.box.append(box)
 
@@ -191,7 +204,7 @@ class _Lines:
             for i in around:
                 boxed[i] = False
         kept = [i for i, b in enumerate(self.box) if not outermost[b]]
-        for name in ("text", "linked", "inside", "box"):
+        for name in ("text", "linked", "words", "heading", "inside", "box"):
             setattr(self, name, [getattr(self, name)[i] for i in kept])
 
 
@@ -221,7 +234,8 @@ class _Tree:
 
     def end_line(self, gap: bool) -> None:
         if not self.hidden:
-            self.lines.end(self.inside, self.window if gap else 0, self.box)
+            heading = any(self.count[h] for h in _HEADINGS)
+            self.lines.end(self.inside, self.window if gap else 0, self.box, heading)
 
     def open(self, name: str, mark: str = "") -> None:
         box = self.box
@@ -398,16 +412,32 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
 
 
 def _prose(lines: _Lines, lengths: list[int], parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """All stretches but lists of links.
+
+    A list of links is a stretch with more than MOST_LINKED of its text in links and no line of prose. It
+    stays if it is nothing but headings and what it heads, the next stretch, stays. On a page of nothing else
+    the stretch with the most text outside links stays.
+    """
     size = {p: sum(lengths[p[0] : p[1]]) for p in parts}
     links = {p: sum(lines.linked[p[0] : p[1]]) for p in parts}
-    if not parts:
-        return []
-    most = max(size[p] - links[p] for p in parts)
-    return [
-        p for p in parts
-        if size[p] - links[p] == most
-        or (size[p] - links[p] >= LEAST_SHARE * most and links[p] <= MOST_LINKED * size[p])
-    ]
+    kept = {
+        p: links[p] <= MOST_LINKED * size[p] or any(_is_prose(lines, i) for i in range(*p)) for p in parts
+    }
+    for p, following in zip(parts[-2::-1], parts[:0:-1], strict=True):
+        heads = all(lines.heading[i] for i in range(*p) if lengths[i])
+        kept[p] = kept[p] or (heads and kept[following])
+    if not any(kept.values()):
+        most = max((size[p] - links[p] for p in parts), default=0)
+        return [p for p in parts if size[p] - links[p] == most]
+    return [p for p in parts if kept[p]]
+
+
+def _is_prose(lines: _Lines, i: int) -> bool:
+    """Whether a line reads as text: a sentence by its end, or words enough that are no links."""
+    words, text = lines.words[i], lines.text[i]
+    if not words:
+        return False
+    return words >= (FEW_WORDS if lines.linked[i] else LONG_LINE) or bool(_SENTENCE_END.search(text))
 
 
 def extract_pages(pages: DataFrame, window: int = WINDOW) -> DataFrame:

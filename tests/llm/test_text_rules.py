@@ -191,6 +191,19 @@ def test_furniture_around_the_article():
         assert html_text.main_text(page) == want, page
 
 
+def test_prose_without_an_article():
+    div = lambda *blocks: "".join(f"<div>{b}</div>" for b in blocks)
+    long, lead = "Word " * 10_000, "A lead of its own."
+    rich = "See <a>the first long paper</a>, <a>the second long one</a> and <a>the third</a>."
+    menu = "<p>Topics<ul><li><a>One topic</a><li><a>Another topic</a><li><a>Third topic</a></ul>"
+    page = div("<h1>Title</h1>", menu, f"<p>{lead}", f"<p>{long}", "<h2><a>Linked heading</a></h2>", "<p>Short.", f"<p>{rich}", menu)
+    want = ["Title", lead, long.strip(), "Linked heading", "Short.", re.sub("<[^>]*>", "", rich)]
+    assert html_text.main_text(page).split("\n") == want
+    section = "<p>" + "Another section of the same article. " * 100
+    assert len(html_text.main_text(div(f"<p>{long}", section)).split("\n")) == 2
+    assert html_text.main_text(div("<a>x y</a>", "<a>z</a>")) == "x y\nz"
+
+
 def test_stretches():
     assert html_text.stretches([0, 0, 5, 6, 0, 0, 0, 0, 7, 0, 8, 0, 0]) == [(2, 4), (8, 11)]
     assert html_text.stretches([]) == [] and html_text.stretches([0, 0]) == []
