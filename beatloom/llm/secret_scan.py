@@ -249,7 +249,7 @@ def mask_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     scanned = scan_texts(docs, keep=(), patterns=(*PATTERNS, LONG_ASSIGN))
     cuts = written(_cuts(scanned, reach), "secret-cuts")
     sha, cut = fresh(docs, "_sha"), fresh(docs, "_cuts")
-    cuts = broadcast_if_small(cuts.toDF(sha, cut), row_bytes=200)
+    cuts = broadcast_if_small(cuts.toDF(sha, cut), row_bytes=200, array=cut, item_bytes=32)
     own = F.col("text")
     joined = docs.withColumn(sha, F.sha2(text_or_empty(), 256)).join(cuts, sha, "left")
 

@@ -37,13 +37,19 @@ def clear_scratch(spark: SparkSession) -> None:
         _TABLES.remove((owner, path))
 
 
-def broadcast_if_small(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(
+    table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, array: str | None = None, item_bytes: int = 0
+) -> DataFrame:
     """Broadcast hint for a written table of at most `limit` bytes at `row_bytes` a row in memory.
 
-    Counting a written table reads only footers. A larger one keeps a shuffled join, whose heavy
-    keys Spark splits at run time; the joined rows are the same.
+    Where a row has an `array` of any length, its items count as `item_bytes` each. Counting a written
+    table reads only footers, or the array. A larger one keeps a shuffled join, whose heavy keys Spark
+    splits at run time; the joined rows are the same.
     """
-    return F.broadcast(table) if table.count() * row_bytes <= limit else table
+    size = table.count() * row_bytes
+    if array and size <= limit:
+        size += (table.agg(F.sum(F.size(array).cast("long"))).first()[0] or 0) * item_bytes
+    return F.broadcast(table) if size <= limit else table
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from beatloom.llm import html_text, quality_rules, secret_scan
+from beatloom.llm import html_text, quality_rules, secret_scan, shared
 from edge import EDGE, edge_rows, empty
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -140,6 +140,14 @@ def test_masked_spans_leave_nothing(spark):
             assert kind == "endpoint" or texts[r.doc_id][int(start) : int(end)] not in got[r.doc_id]
 
 
+def test_broadcasts_count_array_items(spark):
+    table = spark.range(2).selectExpr("id", "sequence(1, 1000) AS cuts")
+    hinted = lambda limit: "ResolvedHint" in shared.broadcast_if_small(
+        table, 200, limit, array="cuts", item_bytes=32
+    )._jdf.queryExecution().analyzed().toString()
+    assert hinted(64_400) and not hinted(64_399)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
 <body><header><h1>Site</h1></header><nav><ul><li><a href=/a>Menu</a></ul></nav><div class="ad">Buy</div>
 <article><h1>Head&amp;line</h1><p><b>First
