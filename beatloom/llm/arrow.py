@@ -6,8 +6,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 ROWS = 512
+BYTES = 4 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
@@ -17,6 +19,21 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def byte_slices(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Pieces whose values of `column` have about `most` bytes; a longer value makes its own piece."""
+    for batch in batches:
+        values = batch.column(column)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right"))
+            to = max(to, at + 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def whole_groups(
     batches: Iterable[pa.RecordBatch], keys: list[str]
 ) -> Iterator[tuple[pa.Table, np.ndarray]]:

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from beatloom.llm import (
+    alignment,
     boosted_quality,
     exact_dedup,
     html_text,
     jaccard_join,
     packing,
+    periodic,
     pfor,
     quality_rules,
+    repeats,
     secret_scan,
     sentencepiece_backend,
     token_counts,
@@ -70,6 +73,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(_table(spark, sf_dir, "documents"), tails=True)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sentencepiece": op2_sentencepiece,
@@ -81,6 +96,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 ORACLES: dict[str, str] = {}
 

@@ -14,6 +14,14 @@ BROADCAST_BYTES = 16 << 20
 _TABLES: list[tuple[SparkSession, str]] = []
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared checkpoint folder, which `clear_scratch` will delete."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}"
+    _TABLES.append((spark, path))
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared checkpoint folder: cut lineage, known size.
 
@@ -21,10 +29,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     deletes the tables of a session once its results are stored.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    _TABLES.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
