@@ -41,7 +41,8 @@ LONG_BYTES = 1 << 16
 RANGE_BYTES = 1 << 15
 REACH = 4096
 FAN_IN = 8
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 32 << 20
+SLICE_BYTES = 1 << 20
 
 _CUT = re.compile(r"(?<=\S) ")
 _B_BITS = 24
@@ -438,6 +439,37 @@ def _sha(text: bytes | pa.Buffer) -> str:
     return hashlib.sha256(text).hexdigest()
 
 
+def _aligned_slice(known: Units, part: pa.RecordBatch) -> tuple:
+    """(doc_id, sums by document, digests, document, code and times of every distinct link)."""
+    units, number, cuts = split_units(part.column("text"))
+    n = part.num_rows
+    facts, row = known.facts(units, np.bincount(number, minlength=len(units)))
+    unit = row[number]
+    doc = np.repeat(np.arange(n), np.diff(cuts))
+    bad = np.bincount(doc, facts.numbers[unit, 0], n) > 0
+    ok = ~bad[doc]
+    sums = [np.bincount(doc[ok], facts.numbers[unit[ok], k], n).astype(np.int64) for k in range(1, 5)]
+    texts = _lists(facts.text.take(pa.array(unit)), cuts, ";")
+    sha = [
+        _sha(text.as_buffer()) if there else ""
+        for text, there in zip(texts, (~bad & (np.diff(cuts) > 0)).tolist(), strict=True)
+    ]
+    # Each unit of a document once, with how often it occurs there.
+    of, uses = np.unique((doc[ok] << 32) | unit[ok], return_counts=True)
+    own, at = facts.links_of(of & 0xFFFFFFFF)
+    links = _per_document(of[own] >> 32, facts.codes[at], facts.times[at] * uses[own])
+    return part.column("doc_id"), sums, sha, *links
+
+
+def _joined_block(block: int, held: list[tuple]) -> pa.RecordBatch:
+    ids, sums, shas, docs, codes, times = zip(*held, strict=True)
+    before = np.cumsum([0, *map(len, shas)])
+    return _block_row(
+        block, np.concatenate([d + b for d, b in zip(docs, before)]), np.concatenate(codes), np.concatenate(times),
+        [pa.concat_arrays(ids), *[np.concatenate(s) for s in zip(*sums, strict=True)]], [s for sha in shas for s in sha],
+    )
+
+
 def short_blocks(docs: DataFrame, paths: tuple[str, str], block_bytes: int) -> DataFrame:
     """Blocks of whole documents (doc_id, text)."""
 
@@ -446,26 +478,16 @@ def short_blocks(docs: DataFrame, paths: tuple[str, str], block_bytes: int) -> D
 
         block = TaskContext.get().partitionId() << 32
         known = remembered(*paths)
-        for part in byte_slices(batches, "text", block_bytes):
-            units, number, cuts = split_units(part.column("text"))
-            n = part.num_rows
-            facts, row = known.facts(units, np.bincount(number, minlength=len(units)))
-            unit = row[number]
-            doc = np.repeat(np.arange(n), np.diff(cuts))
-            bad = np.bincount(doc, facts.numbers[unit, 0], n) > 0
-            ok = ~bad[doc]
-            sums = [np.bincount(doc[ok], facts.numbers[unit[ok], k], n).astype(np.int64) for k in range(1, 5)]
-            texts = _lists(facts.text.take(pa.array(unit)), cuts, ";")
-            sha = [
-                _sha(text.as_buffer()) if there else ""
-                for text, there in zip(texts, (~bad & (np.diff(cuts) > 0)).tolist(), strict=True)
-            ]
-            # Each unit of a document once, with how often it occurs there.
-            of, uses = np.unique((doc[ok] << 32) | unit[ok], return_counts=True)
-            own, at = facts.links_of(of & 0xFFFFFFFF)
-            owner, code, times = _per_document(of[own] >> 32, facts.codes[at], facts.times[at] * uses[own])
-            yield _block_row(block, owner, code, times, [part.column("doc_id"), *sums], sha)
-            block += 1
+        held: list[tuple] = []
+        size = 0
+        for part in byte_slices(batches, "text", min(SLICE_BYTES, block_bytes)):
+            held.append(_aligned_slice(known, part))
+            size += part.nbytes
+            if size >= block_bytes:
+                yield _joined_block(block, held)
+                block, held, size = block + 1, [], 0
+        if held:
+            yield _joined_block(block, held)
 
     return docs.select("doc_id", "text").mapInArrow(made, BLOCK)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatloom.llm.arrow import slices
+from beatloom.llm.arrow import byte_slices
 from beatloom.llm.shared import text_or_empty, written
 from beatloom.llm.wordbpe import END_ID, default_path, word_bpe
 
@@ -45,9 +45,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
 
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         encoder = word_bpe(path)
-        for part in slices(batches):
+        for part in byte_slices(batches, "text"):
             rows: list[tuple] = []
-            encoded = encoder.encode(part.column("text").to_pylist())
+            encoded = encoder.encode(part.column("text"))
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                 raw = ids + _END
                 for n, at in enumerate(range(0, len(raw), 4 * capacity)):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatloom.llm.arrow import slices
+from beatloom.llm.arrow import byte_slices, slices
 from beatloom.llm.shared import text_or_empty, written
 from beatloom.llm.wordbpe import END_ID, default_path, word_bpe
 
@@ -188,8 +188,8 @@ def write_segments(docs: DataFrame, path: str | None = None, segment_ids: int =
                 ["shard", "first", "n_ids", "doc_ids", "lengths", "body"],
             )
 
-        for part in slices(batches):
-            encoded = encoder.encode(part.column("text").to_pylist())
+        for part in byte_slices(batches, "text"):
+            encoded = encoder.encode(part.column("text"))
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                 doc_ids.append(doc_id)
                 held.append(ids + _END)

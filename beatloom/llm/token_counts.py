@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatloom.llm.arrow import slices
+from beatloom.llm.arrow import byte_slices
 from beatloom.llm.shared import text_or_empty
 from beatloom.llm.wordbpe import WordBpe, default_path, word_bpe
 
@@ -100,13 +101,14 @@ def token_counts(
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_bpe(path)
-        for part in slices(batches):
-            texts = part.column("text").to_pylist()
-            huge = [encoder.splits and len(t) > chunk for t in texts]
-            short = iter(encoder.encode([t for t, h in zip(texts, huge, strict=True) if not h]))
+        for part in byte_slices(batches, "text"):
+            texts = part.column("text")
+            huge = pc.greater(pc.utf8_length(texts), chunk).to_numpy(zero_copy_only=False) & encoder.splits
+            _, cuts = encoder.encode_batch(texts.filter(pa.array(~huge)))
+            short = iter(np.diff(cuts).tolist())
             found = [
-                count_huge(encoder, t, chunk, overlap) if h else (len(next(short)) // 4, 1, 0)
-                for t, h in zip(texts, huge, strict=True)
+                count_huge(encoder, texts[i].as_py(), chunk, overlap) if h else (next(short), 1, 0)
+                for i, h in enumerate(huge.tolist())
             ]
             tokens, chunks, widened = zip(*found, strict=True)
             n = pa.array(tokens, pa.int64())

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from beatloom.llm import boosted_quality, packing, pfor, sentencepiece_backend, token_counts
+from beatloom.llm import boosted_quality, packing, pfor, sentencepiece_backend, token_counts, wordbpe
 from beatloom.llm.wordbpe import WordBpe, default_path
 from edge import EDGE, LONG, edge_rows, empty
 
@@ -32,12 +32,19 @@ def test_word_bpe_equals_the_library(spark, library):
     assert WordBpe(default_path()).encode(texts) == [raw(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
-def test_word_bpe_forgets(library, monkeypatch):
-    monkeypatch.setattr("beatloom.llm.wordbpe._MOST_KNOWN", 10)
-    coder = WordBpe(default_path())
-    for k in range(5):
-        texts = [f"alpha{k} beta, gamma! {i}" for i in range(4)]
+def test_word_bpe_forgets(library):
+    coder, most = WordBpe(default_path(), cache_bytes=3000), 0
+    for k in range(8):
+        texts = [f"alpha{k} beta, gamma! {' '.join(chr(97 + k) * n for n in range(1, 30))} {i}" for i in range(4)]
         assert coder.encode(texts) == [raw(library.encode(t, add_special_tokens=False).ids) for t in texts]
+        most = max(most, coder.known.nbytes)
+    assert 1000 < most < 6000  # the bound and one batch
+
+
+def test_digests_that_share_a_half(library, monkeypatch):
+    monkeypatch.setattr(wordbpe, "_digests", lambda words: np.array([[len(w), 7] for w in words], np.uint64).reshape(-1, 2))
+    text = "one three one fourteen, x"
+    assert WordBpe(default_path()).encode([text]) == [raw(library.encode(text, add_special_tokens=False).ids)]
 
 
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 5000])
