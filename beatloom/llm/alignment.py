@@ -41,8 +41,8 @@ LONG_BYTES = 1 << 16
 RANGE_BYTES = 1 << 15
 REACH = 4096
 FAN_IN = 8
-CACHE_BYTES = 32 << 20
-SLICE_BYTES = 1 << 20
+CACHE_BYTES = 24 << 20
+SLICE_BYTES = 1 << 19
 
 _CUT = re.compile(r"(?<=\S) ")
 _B_BITS = 24
@@ -636,7 +636,7 @@ def _judged(pairs: DataFrame) -> DataFrame:
 
 def token_blocks(
     docs: DataFrame, paths: tuple[str, str] | None = None, long_bytes: int = LONG_BYTES,
-    range_bytes: int = RANGE_BYTES, reach: int = REACH, block_bytes: int = 4 << 20,
+    range_bytes: int = RANGE_BYTES, reach: int = REACH, block_bytes: int = 2 << 20,
 ) -> DataFrame:
     """The written blocks of all documents."""
     paths = paths or default_paths()
