@@ -261,15 +261,18 @@ def key_parity(left: DataFrame, right: DataFrame, keys: Sequence[str] = K.WINDOW
     )
 
 
-def version_mismatches(artifacts: DataFrame) -> DataFrame:
-    """Canonical artifacts whose version differs from their type, and rows of the legacy layer."""
+def bad_version() -> Column:
+    """A canonical artifact whose version differs from its type, or a row of the legacy layer."""
     canonical = F.col("layer").isin(K.PROCESSED, K.CURATED, K.ML_READY)
-    return artifacts.filter(
-        (canonical & ~F.col("schema_ver").eqNullSafe(F.col("artifact_type")))
-        | (F.col("layer") == K.LEGACY_LAYER)
+    return (canonical & ~F.col("schema_ver").eqNullSafe(F.col("artifact_type"))) | (
+        F.col("layer") == K.LEGACY_LAYER
     )
 
 
+def version_mismatches(artifacts: DataFrame) -> DataFrame:
+    return artifacts.filter(bad_version())
+
+
 def unended_failures(service_runs: DataFrame) -> DataFrame:
     return service_runs.filter((F.col("status") == K.FAILED) & F.col("ended_at").isNull())
 

@@ -13,6 +13,7 @@ from beatloom.functions import hrv
 from beatloom.functions.ordered import ROWS_PER_SEGMENT, drop_segments
 from beatloom.operators import catalog, quality, rollups, signal, windows
 from beatloom.plans import gates, views
+from beatloom.plans.gate_metrics import gate_metrics
 from beatloom.plans.features import FeatureParams, FeatureTables, feature_tables
 from beatloom.session import ensure_checkpoint_dir
 from beatloom.sinks import tables
@@ -1173,6 +1174,148 @@ def _(spark, sf_dir):
     return report.groupBy("gate", "check", "record_id").agg(F.count(F.lit(1)).alias("violations"))
 
 
+# Faults of the modelled run, a record each by the remainder of its number.
+_FAULT = "CAST(record_id AS INT) % 15"
+_GATE_SQL = records_sql(BY_USER) + f""",
+beats_ AS (
+  SELECT record_id, CASE WHEN {_FAULT} <> 1 THEN t_peak_sec END AS t, rr_interval_sec AS rr FROM rr),
+windows_ AS (
+  SELECT * REPLACE (
+      window_start_sec + CASE WHEN {_FAULT} = 2 THEN 1 ELSE 0 END AS window_start_sec,
+      CASE WHEN {_FAULT} = 3 THEN -1.0 ELSE window_coverage_sec END AS window_coverage_sec)
+  FROM curated WHERE NOT ({_FAULT} = 4 AND (window_start_sec / {BY_USER.width_sec}) % 2 = 0)),
+ml_once AS (
+  SELECT record_id, mean_rr_ms, CASE WHEN {_FAULT} <> 6 THEN CAST(window_start_sec AS BIGINT) END AS start,
+    CASE WHEN {_FAULT} = 7 THEN 1.5 ELSE pnn50 END AS pnn50,
+    60000.0 / mean_rr_ms + CASE WHEN {_FAULT} = 8 THEN 1 ELSE 0 END AS bpm
+  FROM curated),
+ml_ AS (SELECT * FROM ml_once UNION ALL SELECT * FROM ml_once WHERE {_FAULT} = 5),
+records_ AS (
+  SELECT * REPLACE (
+      CASE WHEN {_FAULT} = 9 THEN 2.0 ELSE pnn20 END AS pnn20,
+      heart_rate_bpm + CASE WHEN {_FAULT} = 10 THEN 1 ELSE 0 END AS heart_rate_bpm,
+      CASE WHEN {_FAULT} = 11 THEN rr_max_ms + 1 ELSE rr_median_ms END AS rr_median_ms,
+      CASE WHEN {_FAULT} = 12 THEN mean_window_coverage_sec + 1 ELSE min_window_coverage_sec END
+        AS min_window_coverage_sec,
+      n_rr + CASE WHEN {_FAULT} = 14 THEN 1 ELSE 0 END AS n_rr)
+  FROM record WHERE {_FAULT} <> 13),
+listed_ AS (
+  SELECT DISTINCT record_id FROM rr
+  UNION ALL SELECT CAST(max(CAST(record_id AS INT)) + 1 AS VARCHAR) FROM rr),
+parity AS (
+  SELECT record_id, count(*) AS n FROM (
+    (SELECT DISTINCT record_id, CAST(window_start_sec AS BIGINT) AS start FROM windows_
+      EXCEPT SELECT record_id, start FROM ml_)
+    UNION ALL (SELECT DISTINCT record_id, start FROM ml_
+      EXCEPT SELECT record_id, CAST(window_start_sec AS BIGINT) FROM windows_)) GROUP BY ALL),
+counts AS (
+  SELECT record_id, coalesce(w.n, 0) AS w, coalesce(r.n, 0) AS r, coalesce(b.n, 0) AS b
+  FROM (SELECT record_id, sum(n_rr) AS n FROM windows_ GROUP BY ALL) w
+  FULL JOIN (SELECT record_id, sum(n_rr) AS n FROM records_ GROUP BY ALL) r USING (record_id)
+  FULL JOIN (SELECT record_id, count(rr) AS n FROM beats_ GROUP BY ALL) b USING (record_id)),
+artifacts_ AS (
+  SELECT o_orderpriority AS run, CAST(o_orderkey AS VARCHAR) AS record_id, o_orderstatus AS s,
+    o_totalprice < 50000 AS old FROM orders
+  WHERE NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'))"""
+
+_IN_RUN = f"'{views.RUN_ID}' AS run_id, record_id"
+
+
+@query(
+    "gate_metrics",
+    _GATE_SQL + f"""
+SELECT 'A' AS gate, 'artifact_version' AS check, run AS run_id, record_id, count(*) AS violations
+FROM artifacts_ WHERE s <> 'F' AND old GROUP BY ALL
+UNION ALL SELECT 'A', 'no_interval_table', run, NULL, 1 FROM artifacts_ GROUP BY run HAVING count(*) FILTER (s = 'O') = 0
+UNION ALL SELECT 'A', 'failure_not_ended', CAST(o_custkey AS VARCHAR), NULL, count(*)
+FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL
+UNION ALL SELECT 'A', 'run_date', n_name, NULL, 1 FROM nation WHERE n_nationkey % 5 < 2
+UNION ALL SELECT 'A', 'several_run_dates', '{views.RUN_ID}', NULL, 1
+UNION ALL SELECT 'B0', 'no_beat_times', {_IN_RUN}, 1 FROM listed_ LEFT JOIN beats_ USING (record_id)
+GROUP BY record_id HAVING count(t) = 0
+UNION ALL SELECT 'B', 'missing_column', NULL, NULL, 1
+UNION ALL SELECT 'B', 'misaligned_window', {_IN_RUN}, count(*) FROM windows_
+WHERE abs(window_start_sec % {BY_USER.width_sec}) > 1e-9 GROUP BY record_id
+UNION ALL SELECT 'B', 'coverage', {_IN_RUN}, count(*) FROM windows_
+WHERE window_coverage_sec NOT BETWEEN 0 AND {BY_USER.width_sec} + 1e-6
+  OR window_is_partial <> (window_coverage_sec < {BY_USER.width_sec} - 1e-6) GROUP BY record_id
+UNION ALL SELECT 'B', 'window_count', {_IN_RUN}, 1
+FROM (SELECT record_id, floor(max(t) / {BY_USER.width_sec}) + 1 AS expected FROM beats_ GROUP BY record_id)
+LEFT JOIN (SELECT record_id, count(*) AS n FROM windows_ GROUP BY record_id) USING (record_id)
+WHERE expected IS DISTINCT FROM coalesce(n, 0)
+UNION ALL SELECT 'C', 'missing_window_column', NULL, NULL, 1
+UNION ALL SELECT 'C', 'window_key', {_IN_RUN}, count(*)
+FROM (SELECT record_id, start FROM ml_ GROUP BY ALL HAVING count(*) > 1 OR start IS NULL) GROUP BY record_id
+UNION ALL SELECT 'C', 'window_fraction', {_IN_RUN}, count(*) FROM ml_ WHERE pnn50 NOT BETWEEN 0 AND 1 GROUP BY record_id
+UNION ALL SELECT 'C', 'window_derived', {_IN_RUN}, count(*) FROM ml_
+WHERE abs(bpm - 60000.0 / mean_rr_ms) > 1e-6 GROUP BY record_id
+UNION ALL SELECT 'C', 'window_parity', {_IN_RUN}, n FROM parity
+UNION ALL SELECT 'C', 'missing_record_column', NULL, NULL, 2
+UNION ALL SELECT 'C', 'fraction', {_IN_RUN}, 1 FROM records_ WHERE pnn20 NOT BETWEEN 0 AND 1
+UNION ALL SELECT 'C', 'derived', {_IN_RUN}, 1 FROM records_ WHERE abs(heart_rate_bpm - 60000.0 / mean_rr_ms) > 1e-6
+UNION ALL SELECT 'C', 'distribution', {_IN_RUN}, 1 FROM records_ WHERE rr_median_ms NOT BETWEEN rr_min_ms AND rr_max_ms
+UNION ALL SELECT 'C', 'coverage_rollup', {_IN_RUN}, 1 FROM records_
+WHERE min_window_coverage_sec > mean_window_coverage_sec
+UNION ALL SELECT 'C', 'not_one_row', {_IN_RUN}, 1 FROM listed_ WHERE record_id NOT IN (SELECT record_id FROM records_)
+UNION ALL SELECT 'C', 'interval_count', {_IN_RUN}, 1 FROM counts WHERE w <> r OR b <> r""",
+)
+def _(spark, sf_dir):
+    return gate_metrics(_faulty_run(spark, sf_dir), width_sec=BY_USER.width_sec)
+
+
+@query(
+    "gate_metrics_no_times",
+    rr_sql(BY_USER) + f"""
+SELECT 'B0' AS gate, 'missing_column' AS check, NULL AS run_id, NULL AS record_id, 1 AS violations
+UNION ALL SELECT 'B0', 'no_beat_times', '{views.RUN_ID}', record_id, 1 FROM rr GROUP BY record_id""",
+)
+def _(spark, sf_dir):
+    rr = views.intervals(spark, sf_dir, "user_id").drop("t_peak_sec")
+    return gate_metrics(gates.GateTables(rr=rr), ["B0"])
+
+
+def _faulty_run(spark: SparkSession, sf_dir: str) -> gates.GateTables:
+    """A run's tables with a fault for every check but the one for interval columns."""
+    fault = F.col("record_id").cast("int") % 15
+
+    def broken(number: int, name: str, value: Column) -> dict[str, Column]:
+        return {name: F.when(fault == number, value).otherwise(F.col(name))}
+
+    none = F.lit(None)
+    rr, split = views.beats(spark, sf_dir, "user_id")
+    made = feature_tables(rr, params=BY_USER, split=split)
+    rr = drop_segments(rr)
+    ml = made.window_ml.withColumns(
+        broken(6, "window_start_sec", none) | broken(7, "pnn50", F.lit(1.5))
+        | broken(8, "heart_rate_bpm", F.col("heart_rate_bpm") + 1)
+    ).drop("rr_cv")
+    odd_window = (F.col("window_start_sec") / BY_USER.width_sec) % 2 != 0
+    listed = rr.select(*K.RECORD_COLS).distinct()
+    unknown = listed.groupBy("run_id", "run_date").agg(
+        (F.max(F.col("record_id").cast("int")) + 1).cast("string").alias("record_id")
+    )
+    nations = views.table(spark, sf_dir, "nation")
+    date = F.when(F.col("n_nationkey") % 5 == 0, "2024-02-30").when(F.col("n_nationkey") % 5 == 1, "2024-1-001")
+    return gates.GateTables(
+        rr=rr.withColumns(broken(1, "t_peak_sec", none) | broken(0, "run_date", F.lit("2024-02-01"))),
+        curated=made.curated.filter((fault != 4) | odd_window).withColumns(
+            broken(2, "window_start_sec", F.col("window_start_sec") + 1)
+            | broken(3, "window_coverage_sec", F.lit(-1.0))
+        ).drop("window_end_sec"),
+        window_ml=ml.unionByName(ml.filter(fault == 5)),
+        records=made.record.filter(fault != 13).withColumns(
+            broken(9, "pnn20", F.lit(2.0)) | broken(10, "heart_rate_bpm", F.col("heart_rate_bpm") + 1)
+            | broken(11, "rr_median_ms", F.col("rr_max_ms") + 1)
+            | broken(12, "min_window_coverage_sec", F.col("mean_window_coverage_sec") + 1)
+            | broken(14, "n_rr", F.col("n_rr") + 1)
+        ).drop("rr_iqr_ms", "created_at"),
+        listed=listed.unionByName(unknown),
+        artifacts=views.artifacts(spark, sf_dir).filter("NOT (run_id = '1-URGENT' AND layer = 'processed')"),
+        service_runs=views.states(spark, sf_dir),
+        runs=nations.select(F.col("n_name").alias("run_id"), F.coalesce(date, F.lit("2024-01-31")).alias("run_date")),
+    )
+
+
 def _fresh_root(spark) -> str:
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/layers-{uuid.uuid4().hex}"
