@@ -4,8 +4,10 @@
 into ordered segments, the window runs per (key, segment), and one small row per segment carries
 the last values and the row count over to the next segment. Results equal the plain window.
 
-Two ways to cut:
+Three ways to cut:
 
+* `time_split` cuts every key at multiples of a time span; it needs no pass. A segment has as many rows as
+  the span has beats, so it suits series with a highest rate, and a day of one record is as long as a day of any.
 * `plan_split` measures the keys and cuts only the heavy ones at quantiles of the order column, in
   several levels if one level of `MAX_CUTS_PER_KEY` cuts leaves segments too long: a segment has about
   `rows_per_segment` rows, however large the key or the table is.
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from beatloom.session import ensure_checkpoint_dir
 
 ROWS_PER_SEGMENT = 2_000_000
+# A week: about 600,000 beats at one a second.
+SECONDS_PER_SEGMENT = 604_800.0
 # Cuts of one level: the length of an array per heavy key. Longer keys get another level.
 MAX_CUTS_PER_KEY = 4_096
 BROADCAST_BYTES = 32 << 20
@@ -44,6 +48,7 @@ class Split:
     small: bool = True
     finer: Split | None = None
     blocks: bool = False
+    seconds: float = 0.0
 
     @property
     def cut_any(self) -> bool:
@@ -59,6 +64,8 @@ class Split:
         return [_SEG, _SUB] if self.finer is None else [*_coarse(self.keys), *self.finer.segments]
 
     def _block(self, index: str) -> Column:
+        if self.seconds:
+            return F.floor(F.col(index) / F.lit(float(self.seconds))).cast("long")
         return F.expr(f"{index} div {self.rows_per_segment}")
 
     def assign(self, df: DataFrame) -> DataFrame:
@@ -116,6 +123,16 @@ def block_split(
     return Split(tuple(keys), (order,), rows_per_segment, blocks=True)
 
 
+def time_split(
+    keys: Sequence[str], order: Sequence[str], seconds: float = SECONDS_PER_SEGMENT
+) -> Split:
+    """Cut every key at multiples of `seconds` of the first order column, without looking at the rows.
+
+    Equal times stay in one segment, in the order of the other columns.
+    """
+    return Split(tuple(keys), tuple(order), 0, blocks=True, seconds=seconds)
+
+
 def plan_split(
     df: DataFrame,
     keys: Sequence[str],
@@ -124,19 +141,21 @@ def plan_split(
 ) -> Split:
     """Measure `df` and decide which keys to cut, and where.
 
-    One narrow counting pass; if there are heavy keys, a second one reads only those. Keys and the
+    One narrow counting pass; if there are heavy keys, it is repeated to store them, and another one reads only
+    their rows. Keys and the
     first order column must be non-NULL in the rows that are ordered later. Heavy keys and cuts are
     checkpointed tables with at most a row per `rows_per_segment` rows of `df`; the driver sees
     their totals only.
     """
     keys, order = tuple(keys), tuple(order)
-    ensure_checkpoint_dir(df.sparkSession)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = sizes.filter(F.col("_n") > rows_per_segment).checkpoint()
+    heavy = sizes.filter(F.col("_n") > rows_per_segment)
     seen = heavy.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("largest")).first()
-    if not seen["keys"]:
+    if not seen["keys"]:  # the usual case: nothing is stored
         return Split(keys, order, rows_per_segment)
 
+    ensure_checkpoint_dir(df.sparkSession)
+    heavy = heavy.checkpoint()
     few = seen["keys"] * 64 <= BROADCAST_BYTES
     marked = df.join(F.broadcast(heavy) if few else heavy, list(keys))
     pieces = min(MAX_CUTS_PER_KEY, math.ceil(seen["largest"] / rows_per_segment))

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatloom.functions.ordered import ROWS_PER_SEGMENT, drop_segments, plan_split, with_previous
@@ -48,20 +48,24 @@ def exact_quantiles(
     fractions: Sequence[float],
     out: str = "quantiles",
     accuracy: int = 10_000,
+    beside: Sequence[Column] = (),
 ) -> DataFrame:
     """Discrete quantiles (the smallest value that at least the fraction of values reaches) per key.
 
     A mergeable sketch brackets every quantile between two values of known rank error. A second
     pass counts the values below a bracket and, per distinct value, those inside; counts combine
     map-side. Only the distinct values inside, about 4 / `accuracy` of a key's, are then put in
-    order. `accuracy` sets that share and the sketch's size, never the result.
+    order. `accuracy` sets that share and the sketch's size, never the result. `beside` are named
+    aggregates of `value` per key, computed in the first pass and kept beside the quantiles.
     """
     keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value, F.col(value).alias("_v"))
     around = [b for f in fractions for b in (max(0.0, f - 2 / accuracy), min(1.0, f + 2 / accuracy))]
     brackets = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", around, accuracy).alias("_b"), F.count(F.lit(1)).alias("_n")
+        F.percentile_approx("_v", around, accuracy).alias("_b"), F.count(F.lit(1)).alias("_n"),
+        *([F.struct(*beside).alias("_beside")] if beside else []),
     )
+    kept = ["_beside"] if beside else []
     # Per fraction a row is below its bracket (counted without a value), inside (with), or of no use.
     tags = F.array(*[
         F.when(
@@ -75,14 +79,15 @@ def exact_quantiles(
     ])
     counted = (
         rows.join(brackets, keys)
-        .select(*keys, "_n", F.inline(F.array_compact(tags)))
-        .groupBy(*keys, "_n", "f", "inside")
+        .select(*keys, "_n", *kept, F.inline(F.array_compact(tags)))
+        .groupBy(*keys, "_n", *kept, "f", "inside")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     upto = Window.partitionBy(*keys, "f").orderBy(F.col("inside").asc_nulls_first())
     reached = counted.withColumn("_end", F.sum("n").over(upto))
     wanted = F.element_at(F.array(*map(F.lit, map(float, fractions))), F.col("f") + 1) * F.col("_n")
     hit = F.min(F.when(F.col("_end") >= wanted, F.col("inside")))
-    each = reached.groupBy(*keys, "f").agg(hit.alias("q"))
+    each = reached.groupBy(*keys, *kept, "f").agg(hit.alias("q"))
     pairs = F.sort_array(F.collect_list(F.struct("f", "q")))
-    return each.groupBy(*keys).agg(F.transform(pairs, lambda p: p["q"]).alias(out))
+    found = each.groupBy(*keys, *kept).agg(F.transform(pairs, lambda p: p["q"]).alias(out))
+    return found.select(*keys, out, "_beside.*") if beside else found

@@ -59,20 +59,16 @@ def record_window_rollup(curated: DataFrame) -> DataFrame:
 
 def rr_distribution(rr: DataFrame, accuracy: int = K.PERCENTILE_ACCURACY) -> DataFrame:
     """Count, range, exact median and inter-quartile range of all intervals, timed or not."""
-    intervals = with_rr_ms(rr)
     low, high = F.min("rr_ms"), F.max("rr_ms")
-    ranges = intervals.groupBy(*K.RECORD_COLS).agg(
-        F.count("rr_ms").alias("n_rr"),
-        low.alias("rr_min_ms"),
-        high.alias("rr_max_ms"),
-        (high - low).alias("rr_range_ms"),
-    )
-    quartiles = exact_quantiles(
-        intervals, K.RECORD_COLS, "rr_ms", [0.25, 0.5, 0.75], "_q", accuracy
+    measured = exact_quantiles(
+        with_rr_ms(rr), K.RECORD_COLS, "rr_ms", [0.25, 0.5, 0.75], "_q", accuracy,
+        beside=[
+            F.count("rr_ms").alias("n_rr"), low.alias("rr_min_ms"), high.alias("rr_max_ms"),
+            (high - low).alias("rr_range_ms"),
+        ],
     )
     return (
-        ranges.join(quartiles, K.RECORD_COLS, "left")
-        .withColumn("rr_median_ms", F.get("_q", F.lit(1)))
+        measured.withColumn("rr_median_ms", F.get("_q", F.lit(1)))
         .withColumn("rr_iqr_ms", F.get("_q", F.lit(2)) - F.get("_q", F.lit(0)))
         .drop("_q")
     )

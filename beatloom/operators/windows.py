@@ -12,6 +12,7 @@ from beatloom.functions.ordered import (
     Split,
     drop_segments,
     plan_split,
+    time_split,
     with_previous,
 )
 
@@ -49,10 +50,13 @@ def assert_orderable(rr: DataFrame) -> None:
         raise TiedBeatsError("t_peak_sec ties without a beat_index to order them")
 
 
+def _beat_order(rr: DataFrame) -> list[str]:
+    return ["t_peak_sec", *(["beat_index"] if "beat_index" in rr.columns else [])]
+
+
 def plan_beat_split(rr: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> Split:
-    """Measure an interval table once; pass the result to the operators below."""
-    order = ["t_peak_sec", *(["beat_index"] if "beat_index" in rr.columns else [])]
-    timed = rr.filter(F.col("t_peak_sec").isNotNull())
+    """Measure an interval table and cut its heavy records by rows, for series without a highest rate."""
+    timed, order = rr.filter(F.col("t_peak_sec").isNotNull()), _beat_order(rr)
     return plan_split(timed.select(*K.RECORD_KEY, *order), K.RECORD_KEY, order, rows_per_segment)
 
 
@@ -60,16 +64,18 @@ def successive_differences(
     rr: DataFrame,
     width_sec: float = K.WINDOW_SEC,
     split: Split | None = None,
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    seconds: float | None = None,
 ) -> DataFrame:
     """Interval rows with `rr_ms`, window bounds and both kinds of successive difference.
 
     `diff_record_ms` looks back over the record and `diff_ms` only within the window. Windows are
     contiguous in beat order, so one look-back per record serves both: the window difference is
-    the record difference, kept where the previous beat lies in the same window.
+    the record difference, kept where the previous beat lies in the same window. Without a `split` a record
+    is cut every `seconds`, or where it is found to be heavy.
     """
     assert_orderable(rr)
-    split = split or plan_beat_split(rr, rows_per_segment)
+    if split is None:
+        split = time_split(K.RECORD_KEY, _beat_order(rr), seconds) if seconds else plan_beat_split(rr)
     timed = assign_window(with_rr_ms(rr), width_sec)
     seen = with_previous(
         timed, split, {"_prev_rr_ms": "rr_ms", "_prev_start_sec": "window_start_sec"}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from beatloom import constants as K
 from beatloom.functions import hrv
-from beatloom.functions.ordered import ROWS_PER_SEGMENT, drop_segments
+from beatloom.functions.ordered import drop_segments
 from beatloom.operators import catalog, quality, rollups, signal, windows
 from beatloom.plans import gates, views
 from beatloom.plans.gate_metrics import gate_metrics
@@ -29,7 +29,7 @@ ORACLES: dict[str, str] = {}
 BY_TYPE = FeatureParams(width_sec=86_400.0, min_rr=30, pnn50_ms=600_000.0, pnn20_ms=240_000.0)
 BY_USER = FeatureParams(width_sec=604_800.0, min_rr=10, pnn50_ms=600_000.0, pnn20_ms=240_000.0)
 RECORD = {BY_TYPE: "event_type", BY_USER: "user_id"}
-SMALL_SEGMENTS = 150
+SMALL_SEGMENTS = 2 * 86_400.0  # seconds: some days of a record
 LARGE = 1e6
 
 
@@ -178,26 +178,26 @@ RECORD_COLS_SQL = (
 # --- shared plans --------------------------------------------------------------------------
 
 
-def differences(spark, sf_dir, params, rows_per_segment=ROWS_PER_SEGMENT) -> DataFrame:
-    rr, split = views.beats(spark, sf_dir, RECORD[params], rows_per_segment)
+def differences(spark, sf_dir, params, seconds=None) -> DataFrame:
+    rr, split = views.beats(spark, sf_dir, RECORD[params], seconds)
     return windows.successive_differences(rr, params.width_sec, split)
 
 
-def curated(spark, sf_dir, params, rows_per_segment=ROWS_PER_SEGMENT) -> DataFrame:
+def curated(spark, sf_dir, params, seconds=None) -> DataFrame:
     summary = windows.window_summary(
-        differences(spark, sf_dir, params, rows_per_segment),
+        differences(spark, sf_dir, params, seconds),
         params.width_sec, params.min_rr, params.pnn50_ms, params.pnn20_ms,
     )
     return windows.curated_windows(summary)
 
 
-def features(spark, sf_dir, params, rows_per_segment=ROWS_PER_SEGMENT) -> FeatureTables:
-    rr, split = views.beats(spark, sf_dir, RECORD[params], rows_per_segment)
+def features(spark, sf_dir, params, seconds=None) -> FeatureTables:
+    rr, split = views.beats(spark, sf_dir, RECORD[params], seconds)
     return feature_tables(rr, params=params, split=split)
 
 
-def record_table(spark, sf_dir, params, rows_per_segment=ROWS_PER_SEGMENT) -> DataFrame:
-    return features(spark, sf_dir, params, rows_per_segment).record.drop("created_at")
+def record_table(spark, sf_dir, params, seconds=None) -> DataFrame:
+    return features(spark, sf_dir, params, seconds).record.drop("created_at")
 
 
 # --- intervals and differences -------------------------------------------------------------

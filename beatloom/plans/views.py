@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from beatloom.functions.ordered import (
     Split,
     drop_segments,
     plan_split,
+    time_split,
     with_previous,
 )
 from beatloom.session import ensure_checkpoint_dir
@@ -26,38 +25,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def beats(
-    spark: SparkSession, sf_dir: str, record: str, rows_per_segment: int = ROWS_PER_SEGMENT
+    spark: SparkSession, sf_dir: str, record: str, seconds: float | None = None
 ) -> tuple[DataFrame, Split]:
     """Events of one record (event type or user) as its beats, and how they are cut.
 
-    The cut is planned once, on two columns of the scan, and serves the numbering here as well as
-    the successive differences later: both run on the same partitioning.
+    Every `seconds` of a record, without looking at the rows, or else where heavy records need it. The numbering here and the successive differences later run on one partitioning and in one order:
+    beats of equal time are numbered by the event, so that it orders them as the number does.
     """
     events = table(spark, sf_dir, "events").select(
         F.lit(RUN_ID).alias("run_id"),
         F.lit(RUN_DATE).alias("run_date"),
         F.col(record).cast("string").alias("record_id"),
-        "event_id",
+        F.col("event_id").alias("peak_index"),
         hrv.epoch_seconds("ts").alias("t_peak_sec"),
     )
-    planned = plan_split(
-        events.select("run_id", "record_id", "t_peak_sec", "event_id"),
-        K.RECORD_KEY, ["t_peak_sec", "event_id"], rows_per_segment,
+    order = ["t_peak_sec", "peak_index"]
+    split = (
+        time_split(K.RECORD_KEY, order, seconds) if seconds
+        else plan_split(events.select(*K.RECORD_KEY, *order), K.RECORD_KEY, order)
     )
-    numbered = with_previous(events, planned, {"_prev_sec": "t_peak_sec"}, index="beat_index")
-    rr = numbered.withColumn(
-        "rr_interval_sec", F.col("t_peak_sec") - F.col("_prev_sec")
-    ).withColumnRenamed("event_id", "peak_index").drop("_prev_sec")
-    if planned.cut_any:
+    numbered = with_previous(events, split, {"_prev_sec": "t_peak_sec"}, index="beat_index")
+    interval = F.col("t_peak_sec") - F.col("_prev_sec")
+    rr = numbered.withColumn("rr_interval_sec", interval).drop("_prev_sec")
+    if split.cuts is not None:
         # As a written interval table would be: the differences of a cut series read it twice.
         ensure_checkpoint_dir(spark)
         rr = rr.checkpoint()
-    return rr, replace(planned, order=("t_peak_sec", "beat_index"))
+    return rr, split
 
 
-def intervals(spark: SparkSession, sf_dir: str, record: str, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def intervals(
+    spark: SparkSession, sf_dir: str, record: str, seconds: float | None = None
+) -> DataFrame:
     """`beats` as a plain interval table."""
-    rr, _ = beats(spark, sf_dir, record, rows_per_segment)
+    rr, _ = beats(spark, sf_dir, record, seconds)
     return drop_segments(rr).select(
         *K.RECORD_COLS, "beat_index", "peak_index", "t_peak_sec", "rr_interval_sec"
     )

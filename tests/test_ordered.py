@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from beatloom.functions import ordered
-from beatloom.functions.ordered import block_split, drop_segments, plan_split, with_previous
+from beatloom.functions.ordered import block_split, drop_segments, plan_split, time_split, with_previous
 from beatloom.functions.quantiles import exact_median, value_counts
 
 
@@ -81,6 +81,25 @@ def test_blocks_equal_plain(spark):
     assert set(drop_segments(got).columns) == {"k", "i", "t", "v", "before", "position", "upto"}
 
 
+@pytest.mark.parametrize("seconds", [0.25, 3.0, 1e6])
+def test_time_segments_equal_plain(spark, seconds):
+    df = skewed(spark, [-7.0, 1.0, 1.0, 2.0, 5.5, 9.0])
+    split = time_split(["k"], ["t", "i"], seconds)
+    got = with_previous(df, split, {"before": "v"}, "position", {"upto": "i"})
+    again = with_previous(got, split, {"before2": "v"})
+    columns = ["k", "i", "before", "position", "upto"]
+    assert as_set(again, *columns) == as_set(plain(df, "t", "i"), *columns)
+    assert as_set(again, "k", "i", "before2") == as_set(plain(df, "t", "i"), "k", "i", "before")
+
+
+def test_planning_stores_nothing_without_heavy_keys(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a checkpoint")
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.checkpoint", refuse)
+    assert not plan_split(skewed(spark, [1.0]), ["k"], ["t", "i"]).cut_any
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-3, 3)), min_size=1, max_size=60))
 def test_median(spark, values):
