@@ -166,7 +166,7 @@ def _spans_sql() -> str:
 
 
 _ORDER = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(secret_scan.KINDS))
-_REACH = f"RANGE BETWEEN {secret_scan.REACH} PRECEDING AND {secret_scan.REACH} FOLLOWING"
+_IDENTIFIERS, _CREDENTIALS = (", ".join(f"'{k}'" for k in ks) for ks in (secret_scan.IDENTIFIERS, secret_scan.CREDENTIALS))
 
 ORACLES["op10_secret_scan"] = rf"""
 WITH texts AS (
@@ -179,18 +179,22 @@ matches AS (
 placed AS (
   SELECT *, sum(gap + n) OVER (PARTITION BY rid, pattern ORDER BY k) AS e FROM matches),
 parts AS (
-  SELECT rid, (e - n)::BIGINT AS s, e::BIGINT AS e,
+  SELECT row_number() OVER () AS id, rid, (e - n)::BIGINT AS s, e::BIGINT AS e,
     CASE WHEN pattern <> 'assign' THEN pattern WHEN value >= {secret_scan.ASSIGN_LEAST} THEN 'assign'
       WHEN value >= {secret_scan.SHORT_LEAST} THEN 'short' END AS kind
   FROM placed WHERE pattern <> 'run' OR mixed),
-seen AS (
-  SELECT *, bool_or(kind IN ('ident', 'access')) OVER scope AS has_ident,
-    bool_or(kind IN ('assign', 'hex', 'short', 'run')) OVER scope AS has_secret
-  FROM parts WHERE kind IS NOT NULL WINDOW scope AS (PARTITION BY rid ORDER BY s {_REACH})),
+near AS (
+  SELECT p.id, p.kind, q.s, q.e, q.kind IN ({_IDENTIFIERS}) AS is_ident, q.kind IN ({_CREDENTIALS}) AS is_secret
+  FROM parts p JOIN parts q ON p.rid = q.rid
+    AND (q.s - p.e BETWEEN 0 AND {secret_scan.REACH} OR p.s - q.e BETWEEN 0 AND {secret_scan.REACH})),
+linked AS (
+  SELECT id FROM near WHERE (kind = 'ident' AND is_secret) OR (kind IN ('short', 'run') AND is_ident)
+  UNION
+  SELECT a.id FROM near a JOIN near b ON a.id = b.id AND a.kind = 'endpoint' AND a.is_ident AND b.is_secret
+    AND (a.e <= b.s OR b.e <= a.s)),
 spans AS (
-  SELECT rid, s, kind, kind || ':' || s || ':' || e AS span, CASE kind {_ORDER} END AS kind_at FROM seen
-  WHERE kind IN ('assign', 'access', 'hex') OR (kind = 'ident' AND has_secret)
-    OR (kind IN ('short', 'run') AND has_ident) OR (kind = 'endpoint' AND has_ident AND has_secret)),
+  SELECT rid, s, kind, kind || ':' || s || ':' || e AS span, CASE kind {_ORDER} END AS kind_at FROM parts
+  WHERE kind IN ('assign', 'access', 'hex') OR id IN (SELECT id FROM linked)),
 lists AS (
   SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex,

@@ -3,15 +3,16 @@
 One native pass over the texts keeps, per pattern, the lengths of the gaps and of the matches
 (`split` beside `regexp_extract_all`); everything after it runs on those narrow numbers. Matches of
 the distinct texts are exploded, a running sum per (text, pattern) turns lengths into positions,
-and a range window of `reach` code points around each part is the interval join: it sees which
-kinds of parts lie in the scope without making pairs, so a text full of parts stays n log n.
+and two range windows of `reach` code points, before and behind each part, are the interval join: they
+see what lies in the scope without making pairs, so a text full of parts stays n log n.
 
-Base kinds (always reported): assign, access, hex. Weak kinds, reported only with their complement:
+Base kinds (always reported): assign, access, hex. Weak kinds, reported only with their complement,
+which must not overlap them (a value is no proof of itself):
 
 * ident: an identifier assigned (`login: x`, `access_key_id=...`), if a secret is in its scope;
 * short: a secret assigned that the base rule drops for its length, and run: a mixed token of 20 or
   more characters, if an identifier or access id is in its scope;
-* endpoint: a URL, if both an identifier and a secret are in its scope.
+* endpoint: a URL, if an identifier and a secret that do not overlap each other are in its scope.
 """
 
 from __future__ import annotations
@@ -51,6 +52,9 @@ ENDPOINT = r"(?i:https?|s3|ftp|ssh|jdbc:[a-z]+)://[A-Za-z0-9.-]+(?::[0-9]+)?[A-Z
 
 KINDS = ("assign", "access", "hex", "ident", "short", "run", "endpoint")
 BASE = KINDS[:3]
+# What counts as either half of a credential.
+IDENTIFIERS = ("ident", "access")
+CREDENTIALS = ("assign", "hex", "short", "run")
 
 
 @dataclass(frozen=True)
@@ -146,25 +150,40 @@ def linked_spans(scanned: DataFrame, reach: int = REACH) -> DataFrame:
         _ends(scanned).select("_sha", kind.alias("kind"), (F.col("end") - F.col("len")).alias("start"), "end", "mixed")
         .filter("kind IS NOT NULL AND (kind != 'run' OR mixed)")
     )
-    # Interval join: parts that start at most `reach` behind this one's end, and of these the furthest
-    # end, which must not lie more than `reach` before this one's start. Each part is two rows: its
-    # start, which brings its end along, and the last start it reaches, where it looks back.
-    far = lambda *kinds: F.when(F.col("kind").isin(*kinds), F.col("end"))
-    points = parts.withColumns(
-        {"_ident": far("ident", "access"), "_secret": far("assign", "hex", "short", "run")}
-    ).select(
-        "*",
-        F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(False).alias("looks")),
-                          F.struct((F.col("end") + reach).alias("at"), F.lit(True).alias("looks")))).alias("_p"),
+    # Interval join: each part is two points. From its end it looks ahead for parts that start at most
+    # `reach` on, from its start back for parts that end at most `reach` before, so it never meets
+    # itself or a part that overlaps it. Of what lies there the first end and the last start are kept:
+    # some identifier is disjoint from some secret if one of them ends before the other's last start.
+    points = parts.select("*", F.explode(F.array(
+        F.struct(F.col("start").alias("at"), F.lit(True).alias("opens")),
+        F.struct(F.col("end").alias("at"), F.lit(False).alias("opens")),
+    )).alias("_p"))
+    along = Window.partitionBy("_sha").orderBy("_p.at")
+    ahead, back = along.rangeBetween(0, reach), along.rangeBetween(-reach, 0)
+    opens = F.col("_p.opens")
+
+    def reached(kinds: tuple[str, ...], edge: str) -> Column:
+        extreme, value = (F.min if edge == "end" else F.max), F.when(F.col("kind").isin(*kinds), F.col(edge))
+        before = extreme(F.when(~opens, value)).over(back)
+        behind = extreme(F.when(opens, value)).over(ahead)
+        return F.when(opens, before).otherwise(behind)
+
+    sides = {"ident": IDENTIFIERS, "secret": CREDENTIALS}
+    looks = points.withColumns({
+        f"_{name}_{edge}": reached(kinds, edge) for name, kinds in sides.items() for edge in ("start", "end")
+    })
+    # Equal parts of one kind and place cannot be: matches of a kind do not overlap.
+    seen = looks.groupBy("_sha", "kind", "start", "end").agg(
+        *[F.max(f"_{name}_start").alias(f"_{name}_start") for name in sides],
+        *[F.min(f"_{name}_end").alias(f"_{name}_end") for name in sides],
     )
-    scope = Window.partitionBy("_sha").orderBy("_p.at").rangeBetween(Window.unboundedPreceding, 0)
-    within = lambda c: F.coalesce(F.max(c).over(scope) >= F.col("start") - reach, F.lit(False))
-    seen = points.withColumns({"_ident": within("_ident"), "_secret": within("_secret")}).filter("_p.looks")
+    has_ident, has_secret = F.col("_ident_end").isNotNull(), F.col("_secret_end").isNotNull()
+    apart = (F.col("_ident_end") <= F.col("_secret_start")) | (F.col("_secret_end") <= F.col("_ident_start"))
     linked = (
         F.col("kind").isin(*BASE)
-        | ((F.col("kind") == "ident") & F.col("_secret"))
-        | (F.col("kind").isin("short", "run") & F.col("_ident"))
-        | ((F.col("kind") == "endpoint") & F.col("_ident") & F.col("_secret"))
+        | ((F.col("kind") == "ident") & has_secret)
+        | (F.col("kind").isin("short", "run") & has_ident)
+        | ((F.col("kind") == "endpoint") & apart)
     )
     return seen.filter(linked).select("_sha", "kind", "start", "end")
 
