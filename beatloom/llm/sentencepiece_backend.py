@@ -7,9 +7,9 @@ batches run on `threads` threads of the library (a task's own processors).
 If no piece of the vocabulary holds the marker behind another character, no merge and no unigram path
 crosses a space, so the ids of a text are those of its words in turn. Distinct words are then encoded
 once per worker, as long as they are remembered, by both libraries: parity is verified on every
-word and, for texts that do not split at single spaces, on the whole text. Where the rebuilt
-pipeline differs, the row says so and carries the ids of the original. Decoding is compared on every
-whole text.
+word and, for texts that do not split at single spaces, on the whole text. Rows carry the ids and the
+decoded text of the rebuilt pipeline; where sentencepiece differs, the row says so. Decoding is
+compared on every whole text.
 """
 
 from __future__ import annotations
@@ -182,10 +182,10 @@ class Codec:
         self._unequal: set[str] = set()
 
     def _both(self, texts: list[str], threads: int) -> list[tuple[bytes, bool]]:
-        """Ids of the original and whether the rebuilt pipeline has the same."""
+        """Ids of the rebuilt pipeline and whether the original has the same."""
         mine = [e.ids for e in self.rebuilt.encode_batch(texts, add_special_tokens=False)]
         want = self.original.encode(texts, num_threads=threads)
-        return [(np.array(b, "<u4").tobytes(), a == b) for a, b in zip(mine, want, strict=True)]
+        return [(np.array(a, "<u4").tobytes(), a == b) for a, b in zip(mine, want, strict=True)]
 
     def _learn(self, words: list[str], threads: int) -> None:
         groups = [words[at : at + _AT_ONCE] for at in range(0, len(words), _AT_ONCE)]
@@ -235,9 +235,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def sentencepiece_tokens(docs: DataFrame, path: str | None = None, threads: int = 1) -> DataFrame:
+def sentencepiece_tokens(docs: DataFrame, path: str | None = None, threads: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, decoded_crc32, parity and decode_parity per row.
 
+    Ids and decoded texts are the rebuilt pipeline's; sentencepiece only says whether its own are
+    the same. Batches are encoded by `threads`, by default as many as a task has processors.
     ids_crc32 is over the ids as little-endian unsigned 32-bit integers, decoded_crc32 over the
     UTF-8 of the text decoded from them. NULL texts count as empty (no ids); repeated rows are
     encoded each; other columns are ignored; an empty table gives no rows. Nothing is shuffled.
@@ -247,6 +249,7 @@ def sentencepiece_tokens(docs: DataFrame, path: str | None = None, threads: int
         " decode_parity boolean"
     )
     path = path or default_path()
+    threads = threads or int(docs.sparkSession.conf.get("spark.task.cpus", "1"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -261,7 +264,7 @@ def sentencepiece_tokens(docs: DataFrame, path: str | None = None, threads: int
                 [
                     part.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
                     pa.array([zlib.crc32(raw) for raw, _ in found], pa.int64()),
-                    pa.array([zlib.crc32(t.encode()) for t in wanted], pa.int64()),
+                    pa.array([zlib.crc32(t.encode()) for t in decoded], pa.int64()),
                     pa.array([same for _, same in found]), pa.array([a == b for a, b in zip(decoded, wanted, strict=True)]),
                 ],
                 ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "parity", "decode_parity"],

@@ -182,6 +182,21 @@ def test_sentencepiece(spark):
     assert sentencepiece_backend.sentencepiece_tokens(empty(spark)).count() == 0
 
 
+def test_ids_come_from_the_rebuilt_pipeline(monkeypatch):
+    """A faulty original changes the parity, not the ids."""
+    codec = sentencepiece_backend.Codec(sentencepiece_backend.default_path())
+    right = codec.encode(["a few words", "  odd one"])
+    assert [same for _, same in right] == [True, True]
+    other = sentencepiece_backend.Codec(sentencepiece_backend.default_path())
+
+    class Faulty:
+        def encode(self, texts, num_threads):
+            return [[0] for _ in texts]
+
+    monkeypatch.setattr(other, "original", Faulty())
+    assert other.encode(["a few words", "  odd one"], threads=2) == [(ids, False) for ids, _ in right]
+
+
 def _message(number, body):
     if isinstance(body, int):
         return bytes([number << 3, body])
