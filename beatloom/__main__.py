@@ -13,7 +13,6 @@ from beatloom.plans.gates import GATES
 from beatloom.plans.run import Run, run_all
 from beatloom.session import build_session
 from beatloom.sinks.tables import preview
-from beatloom.sources.layers import read_run
 
 STAGES = ("run", "ingest", "process", "aggregate")
 
@@ -30,6 +29,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--limit", help="cut the requested records; for preview, rows to show")
     parser.add_argument("--slice-seconds")
     parser.add_argument("--overwrite", action="store_true")
+    parser.add_argument("--generations", action="store_true", help="modelling tables are published together")
     parser.add_argument("--gate", choices=GATES, action="append", help="default: all gates")
     parser.add_argument("--record-id", help="record to preview")
     args = parser.parse_args(argv)
@@ -46,13 +46,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     try:
         if args.command == "preview":
-            windows = read_run(
-                spark, args.root, K.ML_READY, K.WINDOW_FEATURES_ML, args.run_id, args.run_date
-            )
+            run = Run(spark, args.root, args.run_id, args.run_date, generations=args.generations)
+            windows = run.modelling(K.WINDOW_FEATURES_ML)
             preview(windows, args.run_id, args.record_id, int(args.limit or 3)).show(truncate=False)
             return 0
         if args.command == "check":
-            run = Run(spark, args.root, args.run_id, args.run_date)
+            run = Run(spark, args.root, args.run_id, args.run_date, generations=args.generations)
             violations = run.check(args.gate or GATES)
             violations.show(truncate=False)
             return int(not violations.isEmpty())
@@ -62,15 +61,15 @@ def main(argv: list[str] | None = None) -> int:
             waveforms = spark.read.schema(schemas.WAVEFORMS).parquet(args.waveforms)
             results = run_all(
                 *where, waveforms, overwrite=args.overwrite, slice_seconds=args.slice_seconds,
-                **selection,
+                generations=args.generations, **selection,
             )
             if results[-1].service == K.AGGREGATION:
-                violations = Run(*where).check()
+                violations = Run(*where, generations=args.generations).check()
                 if not violations.isEmpty():
                     violations.show(truncate=False)
                     return 1
         else:
-            run = Run(*where, args.overwrite, **selection)
+            run = Run(*where, args.overwrite, generations=args.generations, **selection)
             if args.command == "ingest":
                 waveforms = spark.read.schema(schemas.WAVEFORMS).parquet(args.waveforms)
                 results = [run.ingest(waveforms, args.slice_seconds)]

@@ -17,6 +17,7 @@ from beatloom.plans.gate_metrics import gate_metrics
 from beatloom.plans.features import FeatureParams, FeatureTables, feature_tables
 from beatloom.session import ensure_checkpoint_dir
 from beatloom.sinks import tables
+from beatloom.sinks.generations import Publication
 from beatloom.sources import waveforms as wf
 from beatloom.sources.layers import read_rr, read_run
 from beatloom.sources.records import filter_records
@@ -1347,3 +1348,52 @@ def _(spark, sf_dir):
     tables.write_run_level(new, replaced, *where)
     found = read_run(spark, root, *where[1:])
     return rounded(found.select("record_id", "window_start_sec", "n_rr", "pnn50"))
+
+
+PUBLISHED_SQL = """ SELECT record_id, CAST(window_start_sec AS BIGINT) AS window_start_sec, n_rr,
+  CASE WHEN right(record_id, 1) = '3' THEN -1.0 ELSE round(pnn50, 4) END AS pnn50,
+  CASE WHEN right(record_id, 1) = '3' THEN -1 ELSE count(*) OVER (PARTITION BY record_id) END AS windows
+FROM curated WHERE right(record_id, 1) <> '7'"""
+
+
+def _published(spark, sf_dir) -> Publication:
+    """Both modelling tables, published, cut off in an overwrite, and published again in part."""
+    made, last = features(spark, sf_dir, BY_USER), F.substring("record_id", -1, 1)
+    run = Publication(spark, _fresh_root(spark), K.ML_READY, views.RUN_ID, views.RUN_DATE)
+    run.publish(
+        {K.WINDOW_FEATURES_ML: made.window_ml, K.RECORD_FEATURES: made.record},
+        made.record.select("record_id"),
+    )
+    stored, record = run.read(K.WINDOW_FEATURES_ML), run.read(K.RECORD_FEATURES)
+    # Only the first table of this one gets written, for every record.
+    run.write_batch(
+        2, {K.WINDOW_FEATURES_ML: stored.withColumn("pnn50", F.lit(-2.0))}, record.select("record_id")
+    )
+    # This one replaces the records in 3 and empties those in 7; the others stay.
+    run.publish(
+        {
+            K.WINDOW_FEATURES_ML: stored.filter(last == "3").withColumn("pnn50", F.lit(-1.0)),
+            K.RECORD_FEATURES: record.filter(last == "3").withColumn("window_count_total", F.lit(-1)),
+        },
+        record.filter(last.isin("3", "7")).select("record_id"),
+    )
+    return run
+
+
+def _published_rows(run: Publication) -> DataFrame:
+    record = run.read(K.RECORD_FEATURES).select("record_id", F.col("window_count_total").alias("windows"))
+    found = run.read(K.WINDOW_FEATURES_ML).join(record, "record_id")
+    return rounded(found.select("record_id", "window_start_sec", "n_rr", "pnn50", "windows"))
+
+
+@query("publish_generations", curated_sql(BY_USER) + PUBLISHED_SQL)
+def _(spark, sf_dir):
+    return _published_rows(_published(spark, sf_dir))
+
+
+@query("publish_compacted", curated_sql(BY_USER) + PUBLISHED_SQL)
+def _(spark, sf_dir):
+    run = _published(spark, sf_dir)
+    run.compact()
+    run.remove_unreferenced()
+    return _published_rows(run)

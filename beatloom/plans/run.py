@@ -19,6 +19,7 @@ from beatloom.plans.features import FeatureParams, feature_tables
 from beatloom.plans.gates import GATES, GateTables, gate_report
 from beatloom.session import ensure_checkpoint_dir
 from beatloom.sinks import tables
+from beatloom.sinks.generations import COMPACT_ABOVE, Publication
 from beatloom.sinks.metadata import Metadata
 from beatloom.sources import waveforms as wf
 from beatloom.sources.layers import artifact_key, read_rr, read_run
@@ -73,9 +74,10 @@ class Run:
     def __init__(
         self, spark: SparkSession, root: str, run_id: str, run_date: str, overwrite: bool = False,
         ids: str | None = None, range: str | None = None, limit: str | int | None = None,
-        records: RecordFilter | None = None,
+        records: RecordFilter | None = None, generations: bool = False,
     ):
-        """`records` is a selection made elsewhere, in place of the three texts."""
+        """`records` is a selection made elsewhere, in place of the three texts. With `generations` the
+        two modelling tables are published together, instead of one partition after the other."""
         if not run_id or not run_id.strip():
             raise ValueError("run_id is empty")
         if not valid_run_date(run_date):
@@ -84,6 +86,9 @@ class Run:
         self.spark, self.root = spark, root
         self.run_id, self.run_date, self.overwrite = run_id.strip(), run_date, overwrite
         self.metadata = Metadata(spark, root)
+        self.published = (
+            Publication(spark, root, K.ML_READY, self.run_id, run_date) if generations else None
+        )
         self._selection, self._records = (ids, range, limit), records
 
     # --- small helpers ---
@@ -256,7 +261,15 @@ class Run:
         self._service(K.AGGREGATION, result.status, result.notes, ended=True)
         return result
 
+    def modelling(self, artifact: str) -> DataFrame:
+        """One of the run's two modelling tables, from where this run keeps them."""
+        if self.published:
+            return self.published.read(artifact)
+        return read_run(self.spark, self.root, K.ML_READY, artifact, self.run_id, self.run_date)
+
     def _complete(self, artifact: str) -> bool:
+        if self.published:
+            return artifact in self.published.newest().artifacts
         return tables.is_complete(
             self.spark, self.root, K.ML_READY, artifact, self.run_id, self.run_date
         )
@@ -292,7 +305,10 @@ class Run:
             pending.join(with_windows, "record_id", "left_semi"), K.CURATED, K.WINDOW_FEATURES, uri
         )
         for artifact in (K.WINDOW_FEATURES_ML, K.RECORD_FEATURES):
-            key = artifact_key(K.ML_READY, artifact, self.run_date, self.run_id)
+            key = (
+                self.published.key(artifact) if self.published
+                else artifact_key(K.ML_READY, artifact, self.run_date, self.run_id)
+            )
             self._register(records, K.ML_READY, artifact, key)
 
         counts = {
@@ -318,7 +334,7 @@ class Run:
         registered = self._discover(K.ML_READY, K.RECORD_FEATURES)
         tables_ = GateTables(
             of(K.PROCESSED, K.RR_INTERVALS), of(K.CURATED, K.WINDOW_FEATURES),
-            of(K.ML_READY, K.WINDOW_FEATURES_ML), of(K.ML_READY, K.RECORD_FEATURES),
+            self.modelling(K.WINDOW_FEATURES_ML), self.modelling(K.RECORD_FEATURES),
             self._stamp(registered), logged("artifacts"), logged("service_runs"), logged("runs"),
         )
         return gate_report(tables_, gates, params.width_sec)
@@ -335,6 +351,11 @@ class Run:
             made.curated.join(pending, "record_id", "left_semi").select(*made.curated.columns),
             pending, layer=K.CURATED, artifact=K.WINDOW_FEATURES, **where,
         )
+        if self.published:
+            both = {K.WINDOW_FEATURES_ML: made.window_ml, K.RECORD_FEATURES: made.record}
+            if len(self.published.publish(both, records).batches) > COMPACT_ABOVE:
+                self.published.compact()
+            return
         # Neither table counts as complete until both are written.
         for artifact in (K.WINDOW_FEATURES_ML, K.RECORD_FEATURES):
             tables.mark_incomplete(self.spark, layer=K.ML_READY, artifact=artifact, **where)
@@ -348,10 +369,10 @@ def run_all(
     spark: SparkSession, root: str, run_id: str, run_date: str, waveforms: DataFrame,
     ids: str | None = None, range: str | None = None, limit: str | int | None = None,
     overwrite: bool = False, slice_seconds=None, params: FeatureParams = FeatureParams(),
-    widths: signal.DetectorWidths = signal.DetectorWidths(),
+    widths: signal.DetectorWidths = signal.DetectorWidths(), generations: bool = False,
 ) -> list[StageResult]:
     """All three stages with one record selection; stops after a stage with failed records."""
-    run = Run(spark, root, run_id, run_date, overwrite, ids, range, limit)
+    run = Run(spark, root, run_id, run_date, overwrite, ids, range, limit, generations=generations)
     results = [run.ingest(waveforms, slice_seconds)]
     if results[-1].records_failed == 0:
         results.append(run.process(widths))

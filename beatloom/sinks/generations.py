@@ -32,6 +32,7 @@ from beatloom import schemas
 from beatloom.sources.layers import SCHEMAS, escaped, path_exists
 
 REPLACED = "replaced"
+COMPACT_ABOVE = 16  # batches a reader may have to look through
 _REPLACED = T.StructType([T.StructField("record_id", T.StringType())])
 _BATCH = T.StructField("batch", T.StringType())
 
@@ -64,6 +65,10 @@ class Publication:
         run = f"run_date={escaped(self.spark, self.run_date)}/run_id={escaped(self.spark, self.run_id)}"
         return f"{self.root.rstrip('/')}/{self.layer}/_generations/{run}"
 
+    def key(self, artifact: str) -> str:
+        """Object key of a table's batches, without scheme or root."""
+        return f"{self.layer}/_generations/run_date={self.run_date}/run_id={self.run_id}/{artifact}"
+
     # --- manifests ---
 
     def _path(self, text: str):

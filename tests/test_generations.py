@@ -2,9 +2,11 @@
 
 import pytest
 from pyspark.sql import functions as F
+from test_run import waveform
 
 from beatloom import constants as K
 from beatloom import schemas
+from beatloom.plans.run import Run, run_all
 from beatloom.sinks.generations import Manifest, Publication, PublishConflictError
 
 ML, REC = K.WINDOW_FEATURES_ML, K.RECORD_FEATURES
@@ -89,3 +91,42 @@ def test_compaction_and_removal(spark, run):
     assert seen(run) == {ML: [("r0", 0), ("r1", 1), ("r2", 2)], REC: []}
     run.publish(both(spark, [("a", 7)], [("a", 7)]), ids(spark, "a"))
     assert seen(run)[REC] == [("a", 7)]
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    """A run up to its intervals."""
+    root = str(tmp_path_factory.mktemp("published"))
+    waves = spark.createDataFrame([waveform("100", seed=1), waveform("101", seed=2)], schemas.WAVEFORMS)
+    results = run_all(spark, root, "r1", "2024-01-01", waves, generations=True)
+    assert [r.status for r in results] == [K.SUCCEEDED] * 3
+    return root
+
+
+def test_run_publishes_both_tables(spark, staged):
+    run = Run(spark, staged, "r1", "2024-01-01", generations=True)
+    assert run.check().isEmpty()
+    assert run.published.newest().generation == 1
+    assert run.aggregate().notes.startswith("skipped")
+    before = {r.record_id: r.created_at for r in run.modelling(REC).collect()}
+    assert set(before) == {"100", "101"} and run.modelling(ML).count() == 2
+    keys = {r.uri for r in run.metadata.current("artifacts").filter("layer = 'ml_ready'").collect()}
+    assert keys == {run.published.key(a) for a in (ML, REC)}
+    again = Run(spark, staged, "r1", "2024-01-01", overwrite=True, ids="101", generations=True)
+    assert again.aggregate().record_rows == 1
+    after = {r.record_id: r.created_at for r in run.modelling(REC).collect()}
+    assert after["100"] == before["100"] and after["101"] > before["101"]
+    assert run.published.newest().generation == 2 and run.check().isEmpty()
+
+
+def test_failed_publication_of_a_run(spark, staged, monkeypatch):
+    run = Run(spark, staged, "r1", "2024-01-01", overwrite=True, generations=True)
+    before = run.published.newest()
+
+    def lost(self, new):
+        raise RuntimeError("store gone")
+
+    monkeypatch.setattr(Publication, "commit", lost)
+    with pytest.raises(RuntimeError, match="store gone"):
+        run.aggregate()
+    assert run.published.newest() == before and run.modelling(ML).count() == 2
