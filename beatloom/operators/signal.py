@@ -164,6 +164,13 @@ def _moving_sum(x: np.ndarray, half: int) -> np.ndarray:
     return total[2 * half + 1 :] - total[: -(2 * half + 1)]
 
 
+def _mirrored(x: np.ndarray, width: int) -> np.ndarray:
+    """`x` with `width` more values on both sides, reflected at its end values as often as needed."""
+    turn = 2 * (len(x) - 1)
+    at = np.arange(-width, len(x) + width) % turn
+    return x[np.minimum(at, turn - at)]
+
+
 def _sorted_columns(table: pa.Table, *names: str) -> list[np.ndarray]:
     index = table.column("sample_index").to_numpy()
     order = np.argsort(index, kind="stable")
@@ -227,20 +234,22 @@ def _beats(x: np.ndarray, index: np.ndarray, fs: float, widths: DetectorWidths)
     High-passed signal, five-point slope, squared and summed into an energy. A beat is a local
     maximum of the high-passed signal whose energy exceeds a share of the largest energy in its
     block and the two blocks beside it, and which is the highest such maximum within the
-    refractory time (first one on ties). Nothing is divided, so integer input stays exact.
+    refractory time (first one on ties). Nothing is divided, so integer input stays exact. The signal
+    is mirrored at both ends, so that the filters reach them; the end samples themselves, which
+    have a neighbour on one side only, are no maxima.
     """
     base, energy_half, refractory, block = widths.in_samples(fs)
-    if len(x) < 2 * (base + energy_half + 2) + 1:
+    if len(x) < 3:
         return np.empty(0, np.int64)
+    x = _mirrored(x, base + energy_half + 2)
     high = x[base:-base] * (2 * base + 1) - _moving_sum(x, base)
     slope = 2 * high[4:] + high[3:-1] - high[1:-3] - 2 * high[:-4]
     energy = _moving_sum(slope * slope, energy_half)
     inner = energy_half + 2
-    shift = base + inner
     high_here, left, right = high[inner:-inner], high[inner - 1 : -inner - 1], high[inner + 1 :]
     right = right[: len(high_here)]
 
-    blocks = index[shift:-shift] // block
+    blocks = index // block
     starts = np.flatnonzero(np.r_[True, np.diff(blocks) > 0])
     peak = np.maximum.reduceat(energy, starts)
     near = peak.copy()
@@ -251,6 +260,7 @@ def _beats(x: np.ndarray, index: np.ndarray, fs: float, widths: DetectorWidths)
     found = np.flatnonzero(
         (energy * 10 > limit * widths.threshold_tenths) & (high_here > left) & (high_here >= right)
     )
+    found = found[(found > 0) & (found < len(energy) - 1)]
     height, keep, step = high_here[found], np.ones(len(found), bool), 1
     while step < len(found):
         close = found[step:] - found[:-step] <= refractory
@@ -260,7 +270,7 @@ def _beats(x: np.ndarray, index: np.ndarray, fs: float, widths: DetectorWidths)
         keep[:-step] &= ~(close & later_wins)
         keep[step:] &= ~(close & ~later_wins)
         step += 1
-    return found[keep] + shift
+    return found[keep]
 
 
 def detect_peaks(
@@ -272,8 +282,8 @@ def detect_peaks(
 ) -> DataFrame:
     """(keys, `peak_index`, `t_peak_sec`) of the beats on `lead_0`, whatever the segmentation.
 
-    Samples of a record are contiguous in `sample_index`. Within the baseline and energy
-    half-widths of a record's ends the filters have no full support and no beat is reported.
+    Samples of a record are contiguous in `sample_index`. At a record's ends the filters see its
+    mirror image; its first and last sample are never beats.
     """
     keys = list(keys)
     out = samples.select(

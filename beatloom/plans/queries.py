@@ -588,10 +588,17 @@ SAMPLES_SQL = """WITH sig AS (
     count(*) OVER (PARTITION BY event_type) AS n, CAST(round(value * 100) AS BIGINT) AS x
   FROM events)"""
 
+# The filters reach 14 samples to both sides; there the record is reflected at its ends.
 PEAKS_SQL = SAMPLES_SQL + """,
+places AS (
+  SELECT record_id, n, i, (i % (2 * n - 2) + 2 * n - 2) % (2 * n - 2) AS turned
+  FROM (SELECT record_id, n, unnest(range(-14, n + 14)) AS i FROM sig WHERE i = 0 AND n >= 3)),
+padded AS (
+  SELECT p.record_id, p.n, p.i, s.t, s.x FROM places p JOIN sig s
+    ON s.record_id = p.record_id AND s.i = least(turned, 2 * p.n - 2 - turned)),
 filtered AS (
-  SELECT *, CASE WHEN i BETWEEN 10 AND n - 11 THEN 21 * x - sum(x) OVER (PARTITION BY record_id
-    ORDER BY i ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) END AS high FROM sig),
+  SELECT *, CASE WHEN i BETWEEN -4 AND n + 3 THEN 21 * x - sum(x) OVER (PARTITION BY record_id
+    ORDER BY i ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) END AS high FROM padded),
 sloped AS (
   SELECT *, 2 * lead(high, 2) OVER w + lead(high, 1) OVER w - lag(high, 1) OVER w
     - 2 * lag(high, 2) OVER w AS slope, lag(high) OVER w AS high_before, lead(high) OVER w AS high_after
@@ -607,7 +614,7 @@ limits AS (
     ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM blocks),
 candidates AS (
   SELECT record_id, i, t, high FROM energetic JOIN limits USING (record_id, block)
-  WHERE energy * 10 > near * 3 AND high > high_before AND high >= high_after),
+  WHERE energy * 10 > near * 3 AND high > high_before AND high >= high_after AND i BETWEEN 1 AND n - 2),
 peaks AS (
   SELECT record_id, i AS peak_index, t AS t_peak_sec FROM (SELECT *,
     max(high) OVER (PARTITION BY record_id ORDER BY i RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING) AS ahead,

@@ -156,6 +156,43 @@ def test_segmentation_does_not_change_peaks(recordings):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
 
 
+def plain_beats(x, widths, fs):
+    """The detector sample by sample, on a record reflected at its ends."""
+    base, half, refractory, block = widths.in_samples(fs)
+    n = len(x)
+    at = lambda i: x[min(i % (2 * n - 2), 2 * n - 2 - i % (2 * n - 2))]
+    high = {i: (2 * base + 1) * at(i) - sum(at(i + k) for k in range(-base, base + 1)) for i in range(-half - 2, n + half + 2)}
+    slope = {i: 2 * high[i + 2] + high[i + 1] - high[i - 1] - 2 * high[i - 2] for i in range(-half, n + half)}
+    energy = [sum(slope[i + k] ** 2 for k in range(-half, half + 1)) for i in range(n)]
+    top = {}
+    for i, e in enumerate(energy):
+        top[i // block] = max(e, top.get(i // block, 0))
+    limit = {b: max(top.get(b + k, 0) for k in (-1, 0, 1)) for b in top}
+    found = [
+        i for i in range(1, n - 1)
+        if 10 * energy[i] > widths.threshold_tenths * limit[i // block] and high[i - 1] < high[i] >= high[i + 1]
+    ]
+    return [
+        i for i in found
+        if all((high[j], -j) <= (high[i], -i) for j in found if abs(i - j) <= refractory)
+    ]
+
+
+def test_peaks_at_ends(spark):
+    """Whole numbers, so plain sums are equal to the last digit."""
+    rng, widths = random.Random(4), signal.DetectorWidths(10, 2, 7, 50)
+    records = {f"r{n}": [rng.randint(-50, 50) for _ in range(n)] for n in (1, 2, 3, 4, 9, 28, 29, 400, 1203)}
+    records["start"] = [100 * (i in (3, 60, 117)) for i in range(121)]
+    rows = [(r, i, float(i), v) for r, x in records.items() for i, v in enumerate(x)]
+    samples = spark.createDataFrame(rows, "record_id string, sample_index long, t_sec double, lead_0 long")
+    rates = samples.select("record_id").distinct().withColumn("fs", F.lit(1.0)).cache()
+    want = {(r, i) for r, x in records.items() if len(x) > 2 for i in plain_beats(x, widths, 1.0)}
+    assert {i for r, i in want if r == "start"} == {3, 60, 117}
+    for size in (1, 400, 10_000):
+        peaks = signal.detect_peaks(samples, rates, KEYS, widths, size)
+        assert {(p.record_id, p.peak_index) for p in peaks.collect()} == want
+
+
 def test_clean_signal(recordings):
     samples, _ = recordings
     rates, _ = signal.infer_sampling_rate(samples, KEYS)
