@@ -2,9 +2,9 @@
 
 Each level looks only at rows that share the level before with another row. Lengths and prefixes
 are counted with map-side combining, so a group holding a third of all rows costs a few partial
-counts. The surviving (length, prefix) pairs mark which rows get a full SHA-256. If they are too
-many to broadcast, every row is hashed while it is read, which is cheaper than shuffling texts;
-the groups are the same.
+counts. A filter of the surviving (length, prefix) pairs, of bounded size however many there are,
+marks which rows get a full SHA-256 while they are read; texts are not shuffled for it. A row marked
+by chance is hashed and turns out to be alone.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatloom.llm.kept import keep_chosen
-from beatloom.llm.shared import BROADCAST_BYTES, text_or_empty, written
+from beatloom.llm.shared import text_or_empty, written
+from beatloom.llm.sieve import marked, sieve
 
 PREFIX = 256
-_LEVEL_BYTES = 80
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def _shared(rows: DataFrame, *keys: str) -> DataFrame:
 def digests(docs: DataFrame, all_rows: bool = False) -> DataFrame:
     """A written row (doc_id, _row, _sha, _shared) per document.
 
-    `_shared` says that length and prefix occur again; only then, or with `all_rows`, is `_sha` set.
+    `_shared` says that length and prefix may occur again, and is set wherever they do; only then, or
+    with `all_rows`, is `_sha` set.
     `_row` is unique within the table.
     """
     rows = _keyed(docs)
@@ -44,16 +45,11 @@ def digests(docs: DataFrame, all_rows: bool = False) -> DataFrame:
     # One row per distinct length: bounded by the longest text, not by the number of rows.
     same_length = rows.join(lengths, "_len", "left_semi")
     pairs = written(_shared(same_length, "_len", "_prefix"), "dedup-prefixes")
-    if pairs.count() * _LEVEL_BYTES <= BROADCAST_BYTES:
-        marked = rows.join(
-            F.broadcast(pairs.withColumn("_hit", F.lit(True))), ["_len", "_prefix"], "left"
-        ).withColumn("_hit", F.coalesce("_hit", F.lit(False)))
-    else:
-        marked = rows.withColumn("_hit", F.lit(True))
+    found = marked(rows, sieve(pairs, "_len", "_prefix"), ("_len", "_prefix"), "_hit")
     full = F.unhex(F.sha2("_t", 256))
     sha = full if all_rows else F.when(F.col("_hit"), full)
     return written(
-        marked.select(
+        found.select(
             "doc_id", F.monotonically_increasing_id().alias("_row"), sha.alias("_sha"),
             F.col("_hit").alias("_shared"),
         ),

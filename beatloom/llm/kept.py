@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatloom.llm.shared import broadcast_if_small, fresh, text_or_empty
-
-# In memory: a binary digest, an id, flags and the hash table's own share.
-_ROW_BYTES = 120
+from beatloom.llm.shared import fresh, text_or_empty
+from beatloom.llm.sieve import marked, sieve
 
 
 def keep_chosen(docs: DataFrame, fate: DataFrame) -> DataFrame:
@@ -17,15 +15,19 @@ def keep_chosen(docs: DataFrame, fate: DataFrame) -> DataFrame:
     `fate` is a written table with a row per text that is in some group: `_sha` (SHA-256, binary),
     `_chosen` (whether the row that stays has this text), `_keep_id` (its doc_id) and `_tied` (whether
     several rows have both). Of tied rows, equal in id and text, an arbitrary one stays. Texts
-    without a row in `fate` stay.
+    without a row in `fate` stay: most of them miss the filter of its digests and pass where they
+    are read, the others meet it in a join, whose heavy texts Spark splits at run time.
     """
     names = {c: fresh(docs, c) for c in ("_sha", "_chosen", "_keep_id", "_tied")}
     sha, chosen, keep_id, tied = names.values()
-    table = broadcast_if_small(fate.select(*names).toDF(*names.values()), _ROW_BYTES)
-    judged = docs.withColumn(sha, F.unhex(F.sha2(text_or_empty(), 256))).join(table, sha, "left")
+    hit = fresh(docs, "_hit")
+    digested = docs.withColumn(sha, F.unhex(F.sha2(text_or_empty(), 256)))
+    found = marked(digested, sieve(fate, "_sha"), (sha,), hit)
     own = [F.col(f"`{c}`") for c in docs.columns]
+    judged = found.filter(F.col(hit)).join(fate.select(*names).toDF(*names.values()), sha, "left")
     best = F.col(chosen) & F.col("doc_id").eqNullSafe(F.col(keep_id))
-    out = judged.filter(F.col(chosen).isNull() | (best & ~F.col(tied))).select(*own)
+    stay = judged.filter(F.col(chosen).isNull() | (best & ~F.col(tied))).select(*own)
+    out = found.filter(~F.col(hit)).select(*own).unionByName(stay)
     if fate.filter("_chosen AND _tied").isEmpty():
         return out
     row = fresh(docs, "_first")

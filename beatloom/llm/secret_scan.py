@@ -25,7 +25,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatloom.llm.shared import broadcast_if_small, fresh, text_or_empty, written
+from beatloom.llm.shared import fresh, text_or_empty, written
+from beatloom.llm.sieve import marked, sieve
 
 REACH = 160
 
@@ -263,14 +264,16 @@ def mask_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     Overlapping spans are merged and each text is cut once, by positions, so nothing of a span is
     left and nothing outside of spans changes. URLs stay, but for the secrets in them. n_chars, where
-    there is one, follows the new text. Texts are joined with their cuts by SHA-256.
+    there is one, follows the new text. Texts are joined with their cuts by SHA-256; those that miss the
+    filter of the cuts' digests pass where they are read.
     """
     scanned = scan_texts(docs, keep=(), patterns=(*PATTERNS, LONG_ASSIGN))
     cuts = written(_cuts(scanned, reach), "secret-cuts")
     sha, cut = fresh(docs, "_sha"), fresh(docs, "_cuts")
-    cuts = broadcast_if_small(cuts.toDF(sha, cut), row_bytes=200, array=cut, item_bytes=32)
-    own = F.col("text")
-    joined = docs.withColumn(sha, F.sha2(text_or_empty(), 256)).join(cuts, sha, "left")
+    hit, own = fresh(docs, "_hit"), F.col("text")
+    digested = docs.withColumn(sha, F.sha2(text_or_empty(), 256))
+    found = marked(digested, sieve(cuts, "_sha"), (sha,), hit)
+    joined = found.filter(F.col(hit)).join(cuts.toDF(sha, cut), sha, "left")
 
     def before(c: Column, i: Column) -> Column:
         last = F.coalesce(F.get(F.col(cut), i - 1)["end"], F.lit(0))
@@ -278,7 +281,9 @@ def mask_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     tail = F.substring(own, (F.element_at(cut, -1)["end"] + 1).cast("int"), F.length(own))
     pieces = F.concat(F.transform(cut, before), F.array(tail))
-    text = joined.withColumn("text", F.when(F.col(cut).isNull(), own).otherwise(F.array_join(pieces, MASK)))
+    masked = joined.withColumn("text", F.when(F.col(cut).isNull(), own).otherwise(F.array_join(pieces, MASK)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = found.filter(~F.col(hit)).select(*columns).unionByName(masked.select(*columns))
     if "n_chars" in docs.columns:
-        text = text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return text.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out

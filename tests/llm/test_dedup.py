@@ -4,7 +4,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from beatloom.llm import exact_dedup, jaccard_join
+from pyspark.sql import functions as F
+
+from beatloom.llm import exact_dedup, jaccard_join, secret_scan, sieve
 from beatloom.llm.components import components
 from edge import EDGE, edge_rows, empty, rows_of
 
@@ -26,9 +28,9 @@ def brute_exact(pairs):
     ), len(groups)
 
 
-@pytest.mark.parametrize("limit", [exact_dedup.BROADCAST_BYTES, 0])
-def test_exact_dedup(spark, monkeypatch, limit):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", limit)
+@pytest.mark.parametrize("slots", [sieve.SLOTS, 1])
+def test_exact_dedup(spark, monkeypatch, slots):
+    monkeypatch.setattr(sieve, "SLOTS", slots)
     pairs = [tuple(r) for r in documents(spark).collect()] + EDGE
     got = exact_dedup.exact_dedup(edge_rows(spark, pairs)).collect()
     want, groups = brute_exact(pairs)
@@ -46,6 +48,45 @@ def test_drop_copies_keeps_columns(spark):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
 
 
+def test_sieve_finds_every_key(spark):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("_slot"))
+    words = sieve.sieve(rows.filter("k % 7 = 0"), "k")
+    got = sieve.marked(rows, words, ("k",), "hit")
+    assert got.columns == ["k", "_slot", "hit"] and got.count() == 20_000
+    assert got.filter("k % 7 = 0 AND NOT hit").isEmpty()
+    assert got.filter("k % 7 > 0 AND hit").count() < 20
+    nothing = sieve.marked(rows, sieve.sieve(rows.limit(0), "k"), ("k",), "hit")
+    assert nothing.filter("hit").isEmpty() and nothing.count() == 20_000
+    unset = spark.createDataFrame([(None,), ("a",)], "k string")
+    assert sieve.marked(unset, sieve.sieve(unset, "k"), ("k",), "hit").filter("hit").count() == 2
+
+
+@pytest.mark.parametrize("slots", [sieve.SLOTS, 1])
+def test_full_filters_change_no_row(spark, monkeypatch, slots):
+    monkeypatch.setattr(sieve, "SLOTS", slots)
+    docs = edge_rows(spark, EDGE + [(20, "password=abcdefghijkl123 end"), (21, "password=abcdefghijkl123 end")])
+    kept = exact_dedup.drop_copies(docs)
+    assert Counter(t or "" for t in kept.toPandas()["text"]) == Counter({t or "" for _, t in EDGE} | {"password=abcdefghijkl123 end"})
+    masked = {r.doc_id: r.text for r in secret_scan.mask_secrets(docs).collect() if r.doc_id in (8, 20, 21)}
+    assert masked == {8: "x\n\n\nx\n", 20: "password=[SECRET] end", 21: "password=[SECRET] end"}
+
+
+@pytest.mark.parametrize("threshold", ["-1", "1g"])
+def test_rows_that_miss_the_filter_are_not_shuffled(spark, threshold):
+    docs = edge_rows(spark, EDGE).withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keys = docs.filter("doc_id = 4").select("sha")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        missed = sieve.marked(docs, sieve.sieve(keys, "sha"), ("sha",), "hit").filter("NOT hit").drop("hit", "sha")
+        plan = missed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert all("BroadcastExchange" in e or "hashpartitioning(_slot" in e for e in exchanges), plan
+    assert "BroadcastHashJoin" in plan
+
+
 def shingles(text, n=5):
     words = (text or "").split()
     k = min(n, len(words))
