@@ -21,6 +21,7 @@ from beatloom.sinks.generations import Publication
 from beatloom.sources import waveforms as wf
 from beatloom.sources.layers import read_rr, read_run
 from beatloom.sources.records import filter_records
+from beatloom.streaming.live_windows import end_of_stream, live_windows, publish_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1404,3 +1405,26 @@ def _(spark, sf_dir):
     run.compact()
     run.remove_unreferenced()
     return _published_rows(run)
+
+
+# --- streams -------------------------------------------------------------------------------
+
+DELIVERIES = 6
+ARRIVAL_LAG = 21_600  # seconds: events arrive up to six hours late and out of order
+
+
+@query("window_features_live", curated_sql(BY_TYPE) + take(CURATED_COLS, "curated"))
+def _(spark, sf_dir):
+    root = _fresh_root(spark)
+    delivered, delay, last = views.deliver_events(spark, sf_dir, root, "event_type", DELIVERIES, ARRIVAL_LAG)
+    end = last + delay + 2 * BY_TYPE.width_sec
+    per_trigger = max(1, len(delivered.inputFiles()) // DELIVERIES)
+    end_of_stream(delivered, end).write.mode("append").parquet(f"{root}/inbox")
+    stream = (
+        spark.readStream.schema(delivered.schema)
+        .option("maxFilesPerTrigger", per_trigger).parquet(f"{root}/inbox")
+    )
+    summary = live_windows(stream, f"{delay} seconds", BY_TYPE)
+    publish_windows(summary, f"{root}/windows", f"{root}/progress").awaitTermination()
+    closed = spark.read.schema(summary.schema).parquet(f"{root}/windows")
+    return rounded(windows.curated_windows(closed))

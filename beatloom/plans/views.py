@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beatloom import constants as K
 from beatloom.functions import hrv
@@ -64,6 +65,35 @@ def intervals(
     )
 
 
+def deliver_events(
+    spark: SparkSession, sf_dir: str, root: str, record: str, deliveries: int, lag_seconds: int
+) -> tuple[DataFrame, int, float]:
+    """Events as beats in files, in the order of their arrival, up to `lag_seconds` after they happened.
+
+    Returns the delivered files as one table, the delay in seconds that no beat exceeds however the files
+    of a delivery are mixed, and the time of the last beat. An empty table delivers nothing, and events without a time never come.
+    """
+    beats = table(spark, sf_dir, "events").select(
+        F.lit(RUN_ID).alias("run_id"),
+        F.lit(RUN_DATE).alias("run_date"),
+        F.col(record).cast("string").alias("record_id"),
+        hrv.epoch_seconds("ts").alias("t_peak_sec"),
+        F.col("event_id").alias("peak_index"),
+    )
+    first, last = beats.agg(F.min("t_peak_sec"), F.max("t_peak_sec")).first()
+    first, last = first or 0.0, last or 0.0
+    span = (last + lag_seconds - first) / deliveries
+    arrival = F.col("t_peak_sec") + F.pmod(F.xxhash64("peak_index"), F.lit(lag_seconds))
+    number = F.least(F.floor((arrival - first) / span), F.lit(deliveries - 1)).cast("int")
+    staged, inbox = f"{root}/staged", f"{root}/inbox"
+    beats.withColumn("_delivery", number).write.partitionBy("_delivery").parquet(staged)
+    beats.limit(0).write.parquet(inbox)
+    parts = spark.read.schema(T.StructType([*beats.schema, T.StructField("_delivery", T.IntegerType())])).parquet(staged)
+    for n in range(deliveries):  # one after the other: a stream takes files by their age
+        parts.filter(F.col("_delivery") == n).drop("_delivery").write.mode("append").parquet(inbox)
+    return spark.read.schema(beats.schema).parquet(inbox), int(span) + lag_seconds + 1, last
+
+
 def waveforms(spark: SparkSession, sf_dir: str, fs: float = 360.0, leads: int = 1) -> DataFrame:
     """Each embedding vector as a record; the second lead, if any, is the vector reversed."""
     lead = F.col("embedding").cast("array<double>")
