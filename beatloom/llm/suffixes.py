@@ -4,7 +4,8 @@ The text is classified into L and S suffixes. Its leftmost S (LMS) substrings ar
 named; the string of names, a third of the text at most, is sorted the same way in recursion; from
 the order of the LMS suffixes all others are induced, bucket by bucket: what a bucket's suffixes induce into
 later buckets goes there in one stable step. In the recursion there are as many buckets as names, so
-there suffixes are ordered by the symbols up to their next LMS suffix and its rank.
+there suffixes are ordered by the symbols up to their next LMS suffix and its rank. One sort of numbers
+of several symbols tells most of them apart; the order it finds also names the next LMS substrings.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def _places(*keys: np.ndarray) -> np.ndarray:
         packed >>= index
         change = np.append(True, packed[1:] != packed[:-1])
     else:
-        order = np.lexsort(keys[::-1])
+        order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
         change = np.zeros(n, bool)
         change[:1] = True
         for key in keys:
@@ -131,22 +132,36 @@ def _named(text: np.ndarray, sorted_lms: np.ndarray, length: np.ndarray) -> np.n
     return np.cumsum(np.append(False, ~equal))
 
 
-def _by_chains(text: np.ndarray, small: np.ndarray, following: np.ndarray, tail: np.ndarray) -> np.ndarray:
-    """Ranks by the symbols and types up to the next LMS suffix, then by that suffix's `tail`.
+def _chain_places(text: np.ndarray, small: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Places by the symbols and types up to the next LMS suffix and with its first.
 
-    Suffixes that agree so far reach their LMS suffixes together, so an end is compared with an end, or
-    with something of another symbol or type. Ranks are places, which both kinds share.
+    Suffixes that agree so far reach their LMS suffixes together. As many symbols as fit in one number are
+    sorted at once; only longer chains that are still shared are refined, by the place `reach` symbols on.
     """
-    own = text * 2 + small
-    rank, end = _places(own), _places(own, tail)
-    here = np.arange(len(text))
-    span, longest = 1, int((following - here).max())
-    while True:
-        to = np.minimum(here + span, following)
-        rank = _places(rank, np.where(to == following, end[to], rank[to]))
-        if span >= longest:
-            return rank
-        span *= 2
+    n = len(text)
+    own = (text * 2 + small).astype(np.uint64)
+    away = following - np.arange(n)
+    width = int(own.max()).bit_length()
+    reach = min(64 // width, n) - 1  # symbols behind the first; at least one, as a row's number has under 32 bits
+    word = own.copy()
+    for k in range(1, reach + 1):
+        word <<= np.uint64(width)
+        word[: n - k] |= np.where(away[: n - k] >= k, own[k:], np.uint64(0))
+    place = _places(word)
+    at = np.flatnonzero(away > reach)
+    while len(at):
+        held = place[at]
+        size = np.bincount(held, minlength=n)
+        shared = size[held] > 1
+        at, held = at[shared], held[shared]
+        if not len(at):
+            break
+        size[size < 2] = 0
+        ahead = np.cumsum(size) - size  # rows of smaller places among these
+        place[at] = held + _places(held, place[at + reach]) - ahead[held]
+        reach *= 2
+        at = at[away[at] > reach]
+    return place
 
 
 def _ranks(text: np.ndarray) -> np.ndarray:
@@ -156,11 +171,11 @@ def _ranks(text: np.ndarray) -> np.ndarray:
         return text
     small = _types(text)
     lms = _lms(small)
-    following = np.append(lms, n - 1)[np.searchsorted(lms, np.arange(n), "right")]
+    following = np.repeat(np.append(lms, n - 1), np.diff(np.append(lms, n), prepend=0))
+    chain = _chain_places(text, small, following)
     tail = np.zeros(n, np.int64)
-    names = _dense(_by_chains(text, small, following, tail)[lms])
-    tail[lms] = _ranks(names)
-    return _dense(_by_chains(text, small, following, tail))
+    tail[lms] = _ranks(_dense(chain[lms]))
+    return _places(chain, tail[following])
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -197,32 +212,37 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int, sparse: in
     """(before, common): per position of `text` (bytes) the suffix before it in `order`, or -1, and how many
     bytes they share, counted up to `most`.
 
-    Every eighth position is compared from its first byte on; a position k behind one shares at least that
-    many less k, and is compared from there.
+    Every `sparse`th position (a power of two) is compared from its first byte on, then those half as far
+    apart, down to all. A position k behind a known one shares at least that many less k, and is compared from
+    there; it shares exactly that if the suffix before it lies k behind as well.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     words, common = _words(text), np.zeros(n, np.int64)
 
-    def extend(at: np.ndarray) -> None:
-        at = at[before[at] >= 0]
+    def extend(at: np.ndarray, shared: np.ndarray) -> None:
+        other = before[at]
+        some = other >= 0
+        at, other, shared = at[some], other[some], shared[some]
+        room = np.minimum(n - np.maximum(at, other), most)
         while len(at):
-            a, b = at + common[at], before[at] + common[at]
-            inside = (np.maximum(a, b) < n) & (common[at] < most)
-            at, a, b = at[inside], a[inside], b[inside]
-            unlike = words[a] ^ words[b]
-            room = n - np.maximum(a, b)
-            lowest = unlike & (~unlike + np.uint64(1))
-            same = np.where(unlike == 0, 8, (np.frexp(lowest.astype(np.float64))[1] - 1) // 8)
-            common[at] += np.minimum(same, room)
-            at = at[(unlike == 0) & (room > 8)]
-
-    extend(np.arange(0, n, sparse))
-    for k in range(1, sparse):
-        at = np.arange(k, n, sparse)
-        common[at] = np.maximum(common[at - 1] - 1, 0)
-        # The one before it moved along with its neighbour only if that had anything in common.
-        common[at[before[at] < 0]] = 0
-        extend(at)
-    return before, np.minimum(common, most)
+            unlike = words[at + shared] ^ words[other + shared]
+            same = np.bitwise_count(~unlike & (unlike - np.uint64(1))) >> 3  # equal bytes, by the zero bits below
+            shared = np.minimum(shared + same, room)
+            common[at] = shared
+            on = (same == 8) & (shared < room)
+            at, other, shared, room = at[on], other[on], shared[on], room[on]
+
+    at = np.arange(0, n, sparse)
+    extend(at, np.zeros(len(at), np.int64))
+    step = sparse // 2
+    while step:
+        at = np.arange(step, n, 2 * step)
+        left = common[at - step]
+        shared = np.maximum(left - step, 0)
+        known = (left >= step) & (left < most) & (before[at] == before[at - step] + step)
+        common[at[known]] = shared[known]
+        extend(at[~known], shared[~known])
+        step //= 2
+    return before, common

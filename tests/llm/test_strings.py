@@ -257,6 +257,39 @@ def test_suffix_array_and_prefixes():
             assert before[i] == j and common[i] == min(share, len(body) - max(i, j))
 
 
+def test_names_are_sorted_few_times(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    passages = [" ".join(rng.choices(words, k=40)) for _ in range(60)]
+    body = "\n".join(rng.choice(passages)[rng.randint(0, 60) :] for _ in range(200)).encode()
+    text = np.append(np.frombuffer(body, np.uint8).astype(np.int16) + 1, 0)
+    names = len(suffixes._lms(suffixes._types(text)))
+    rows, places = [], suffixes._places
+    monkeypatch.setattr(suffixes, "_places", lambda *keys: rows.append(len(keys[0])) or places(*keys))
+    assert suffixes.suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: body[i:])
+    assert sum(rows) < 5 * names  # twice at each level of the recursion, and long chains again
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        b"ab" * 3000, b"ab" * 900 + b"ac" * 900 + b"ab" * 901,
+        b"".join(b"a" + bytes([x, y]) for x in range(98, 120) for y in range(x, 250, 3)),
+        b"".join(b"a" + bytes([x, y]) for x in range(120, 98, -1) for y in range(250, x, -3)) * 2,
+        b"a\0b" * 40 + b"\0" * 60 + b"a\0b" * 41,
+    ],
+)
+def test_long_chains_of_names(body):
+    text = np.append(np.frombuffer(body, np.uint8).astype(np.int16) + 1, 0)
+    want = sorted(range(len(body) + 1), key=lambda i: body[i:])
+    assert suffixes.suffix_array(text).tolist() == want
+    before, common = suffixes.permuted_prefixes(np.frombuffer(body, np.uint8), np.array(want[1:]), 200)
+    for j, i in zip(want[1:], want[2:]):
+        most = min(200, len(body) - max(i, j))
+        same = next((k for k in range(most) if body[i + k] != body[j + k]), most)
+        assert before[i] == j and common[i] == same
+
+
 def test_registered(spark):
     for name in ("op11_periodic_runs", "op12_tokenizer_alignment", "op13_suffix_dedup"):
         assert queries.QUERIES[name](spark, SF).count() == 200
