@@ -40,9 +40,10 @@ BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 1 << 20
 HOT = 5_000
 
-# Positions within a chunk share a number with the hash; a longer text is taken chunk by chunk.
+# Positions within a chunk share a number with the hash. Texts are taken chunk by chunk, so that the numbers of
+# a chunk stay in the processor's cache; where chunks meet a segment is two, which changes no window.
 _PLACE_BITS = 24
-_CHUNK = 8 << 20
+_CHUNK = 1 << 17
 _SEPARATOR = 0xFF  # no byte of UTF-8
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -93,7 +94,8 @@ def segments(data: np.ndarray, start: np.ndarray, span: int = SPAN) -> tuple[np.
         n = len(anchor)
         # Windows that begin near a text's end reach into the next text.
         inside = np.zeros(n + 1, np.int64)
-        lows, highs = np.clip(start[:-1] - at, 0, n), np.clip(start[1:] - span + 1 - at, 0, n)
+        near = start[np.searchsorted(start, at, "right") - 1 : np.searchsorted(start, at + n) + 1] - at
+        lows, highs = np.clip(near[:-1], 0, n), np.clip(near[1:] - span + 1, 0, n)
         some = highs > lows
         np.add.at(inside, lows[some], 1)
         np.add.at(inside, highs[some], -1)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -234,6 +235,29 @@ def test_repeats_of_long_texts(spark, monkeypatch):
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
 
+def test_segments_take_little_at_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    start = np.append(0, np.cumsum(rng.choice([0, 1, 60, 199, 200, 201, 900, 5000], 3000)))
+    data = rng.integers(97, 100, start[-1]).astype(np.uint8)
+
+    def windows():
+        first, count, anchor = repeats.segments(data, start)
+        behind = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(first, count) + behind, np.repeat(anchor, count)
+
+    tracemalloc.start()
+    repeats.segments(data, start)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 * len(data)  # less than one number per byte of the texts
+    at, anchor = windows()
+    monkeypatch.setattr("beatloom.llm.repeats._CHUNK", 1 << 23)
+    whole = windows()
+    assert at.tolist() == whole[0].tolist() and anchor.tolist() == whole[1].tolist()
+    lengths = np.diff(start)
+    assert at.tolist() == [p for a, n in zip(start.tolist(), lengths.tolist()) for p in range(a, a + n - 199)]
+
+
 def test_texts_are_shuffled_no_more(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = repeats.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
